@@ -6,10 +6,10 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workloom.runtime import materialise
+from workloom.operators.cumulative import running_totals
 
 
 def bucketed(value: Column, relative_error: float) -> Column:
@@ -52,18 +52,7 @@ def percentiles(freq: DataFrame, groups: Sequence[str], probs: dict[str, float])
     """
     g = [f"_g{i}" for i in range(len(groups))]
     known = freq.where("n > 0").select(*[F.col(c).alias(x) for c, x in zip(groups, g)], "v", "n")
-    ranged = known.repartitionByRange(*g, "v").withColumn("_part", F.spark_partition_id())
-    ranged = materialise(ranged, "ranged")
-    totals = ranged.groupBy(*g, "_part").agg(F.sum("n").alias("_own"))
-    whole = Window.partitionBy(*g)
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(x).alias(f"o{x}") for x in g], F.col("_part").alias("_opart"),
-        F.coalesce(F.sum("_own").over(before), F.lit(0)).alias("_before"), F.sum("_own").over(whole).alias("_all"),
-    )
-    run = Window.partitionBy(*g, "_part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    same = reduce(Column.__and__, [F.col(x).eqNullSafe(F.col(f"o{x}")) for x in g], F.col("_part") == F.col("_opart"))
-    summed = ranged.withColumn("_run", F.sum("n").over(run)).join(offsets, same).withColumn("_to", F.col("_run") + F.col("_before"))
+    summed = running_totals(known, g, ["v"], "n", upto="_to", whole="_all")
     rank = lambda p: F.greatest(F.lit(1), F.ceil(F.round(F.col("_all") * p, 6)))
     first = lambda p: (F.col("_to") >= rank(p)) & (F.col("_to") - F.col("n") < rank(p))
     hit = reduce(Column.__or__, [first(p) for p in probs.values()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workloom.llm import components, lookalikes, mapping, quantiles
+from workloom.llm import components, leakage, lookalikes, mapping, mixing, neardup, quantiles, readlevel
 from workloom.runtime import table
 
 
@@ -77,12 +77,90 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("id").alias("vacancy_id"), "group_id")
 
 
+def _adverts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "vacancies").where("text is not null")
+    return rows.select("vacancy_id", F.concat_ws(" ", "title", "employer_name", "text").alias("advert"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of adverts whose runs of four words are alike to at least 0.7."""
+    return neardup.expand(*neardup.similar_pairs(_adverts(spark, d), "vacancy_id", "advert", size=4, t=0.7))
+
+
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The group of re-posted adverts that each advert belongs to, and its number of links."""
+    return neardup.classes(_adverts(spark, d), "vacancy_id", "advert", size=4, t=0.7)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that contain twelve or more consecutive words of an evaluation item."""
+    hits = leakage.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return hits.where("run >= 12").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p8_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """All overlaps with evaluation items, also with replaced words."""
+    hits = leakage.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return hits.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "run", "span", "same")
+
+
+def _mix(spark: SparkSession, d: str):
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mix with their repeat counts and first training positions."""
+    records = _mix(spark, d)[0]
+    return records.select(F.col("id").alias("doc_id"), "source", "tokens", "repeats", F.round("first_position", 9).alias("first_position"))
+
+
+def p9_order(spark: SparkSession, d: str) -> DataFrame:
+    """Every copy of a document at its training position, in order."""
+    copies = _mix(spark, d)[1]
+    return copies.select(F.col("id").alias("doc_id"), "source", "tokens", "copy", F.round("position", 9).alias("position"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share that each source really reached, with caps and shortfalls."""
+    return _mix(spark, d)[2]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents at the hardest level."""
+    return readlevel.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")).where("level = 4").select(F.col("id").alias("doc_id")).distinct()
+
+
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The reading level of every document."""
+    out = readlevel.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels"))
+    return out.select(F.col("id").alias("doc_id"), "level", F.round("confidence", 6).alias("confidence"), F.round("score", 6).alias("score"))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p4_found": p4_found, "p4_forms": p4_forms,
-    "p5_found": p5_found, "p5_percentiles": p5_percentiles, "p7_found": p7_found,
+    "p5_found": p5_found, "p5_percentiles": p5_percentiles, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found,
+    "p8_found": p8_found, "p8_overlaps": p8_overlaps, "p9_mix": p9_mix, "p9_order": p9_order, "p9_shares": p9_shares,
+    "p10_found": p10_found, "p10_levels": p10_levels,
 }
 
 SQL = {
+    "p6_found": """
+with w as (
+  select distinct vacancy_id as id, regexp_extract_all(lower(concat_ws(' ', title, employer_name, text)), '[\\p{L}\\p{N}_]+') as w
+  from vacancies where text is not null),
+s as (select distinct id, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] as g
+      from (select id, w, unnest(range(1, len(w) - 2)) as i from w)),
+n as (select id, count(*) as n from s group by id),
+c as (select a.id as id_a, b.id as id_b, count(*) as c from s a join s b on a.g = b.g and a.id < b.id group by all)
+select id_a, id_b from c join n x on x.id = id_a join n y on y.id = id_b where 10 * c >= 7 * (x.n + y.n - c)
+""",
+    "p8_found": """
+with d as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as w from documents where text is not null),
+i as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as w from eval_items),
+dg as (select distinct doc_id, array_to_string(w[k:k+11], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 10)) as k from d)),
+ig as (select distinct item_id, array_to_string(w[k:k+11], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i))
+select distinct doc_id, item_id from dg join ig using (g)
+""",
     "p5_found": """
 select role_canonical, seniority, city from (
   select distinct row_id, role_canonical, seniority, city, salary_rub_median as x from weekly_role_salary
