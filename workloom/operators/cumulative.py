@@ -35,3 +35,15 @@ def running_totals(df: DataFrame, groups: Sequence[str], order: Sequence[str], a
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(groups, names)], F.col("_part") == F.col("_opart"))
     summed = ranged.withColumn("_run", F.sum(add).over(run)).join(offsets, same)
     return summed.select(*df.columns, (F.col("_run") + F.col("_before")).alias(upto), whole)
+
+
+def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """groups, n and a column for each of `probs`: the value at position round((n - 1) p) of the sorted
+    values, counted from 0, halves up. Null values don't count. Values are reduced to counts before
+    they are sorted, and no group is gathered."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    r = running_totals(counts, groups, ["_v"], "_n", upto="_to", whole="_all")
+    rank = lambda p: F.floor((F.col("_all") - 1) * p + 0.5) + 1
+    here = lambda p: (F.col("_to") >= rank(p)) & (F.col("_to") - F.col("_n") < rank(p))
+    hit = reduce(Column.__or__, [here(p) for p in probs.values()])
+    return r.where(hit).groupBy(*groups).agg(F.max("_all").alias("n"), *[F.max(F.when(here(p), F.col("_v"))).alias(c) for c, p in probs.items()])
