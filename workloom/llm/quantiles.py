@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from workloom.operators.cumulative import running_totals
+from workloom.runtime import materialise
 
 
 def bucketed(value: Column, relative_error: float) -> Column:
@@ -34,6 +37,26 @@ def frequencies(df: DataFrame, groups: Sequence[str], value: str, *, relative_er
     return df.where(F.col(value).isNotNull()).groupBy(*groups, v.alias("v")).agg(F.count("*").alias("n"))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        counts = t.group_by(t.column_names, use_threads=False).aggregate([([], "count_all")])
+        yield from counts.select([*t.column_names, "count_all"]).rename_columns([*t.column_names, "n"]).to_batches()
+
+
+def row_frequencies(df: DataFrame, groups: Sequence[str], value: str, row: str, *, relative_error: float = 0.0) -> DataFrame:
+    """The summary of rows that may be delivered repeatedly: rows with the same group, value and `row`
+    count once. Rows are spread over value ranges by (groups, value, row), so repeats meet there and a
+    frequent value is cut up; each range is reduced to counts where it is. The result is in range
+    order already, for `percentiles`; a value cut up by a range edge has a row on either side."""
+    v = bucketed(F.col(value), relative_error)
+    rows = df.where(F.col(value).isNotNull()).select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)], v.alias("v"), F.col(row).alias("_row"))
+    keys = [*[f"_g{i}" for i in range(len(groups))], "v"]
+    once = rows.repartitionByRange(*keys, "_row").dropDuplicates([*keys, "_row"]).select(*keys)
+    schema = T.StructType([*once.schema.fields, T.StructField("n", T.LongType())])
+    return materialise(once.mapInArrow(_counted, schema).withColumn("_part", F.spark_partition_id()), "counts")
+
+
 def combine(parts: Sequence[DataFrame], groups: Sequence[str]) -> DataFrame:
     """One summary of all rows that the parts summarise; parts may be of different days or sources."""
     every = reduce(DataFrame.unionByName, parts)
@@ -51,7 +74,7 @@ def percentiles(freq: DataFrame, groups: Sequence[str], probs: dict[str, float])
     An empty summary gives an empty result; counts below 1 are left out.
     """
     g = [f"_g{i}" for i in range(len(groups))]
-    known = freq.where("n > 0").select(*[F.col(c).alias(x) for c, x in zip(groups, g)], "v", "n")
+    known = freq if "_part" in freq.columns else freq.where("n > 0").select(*[F.col(c).alias(x) for c, x in zip(groups, g)], "v", "n")
     summed = running_totals(known, g, ["v"], "n", upto="_to", whole="_all")
     rank = lambda p: F.greatest(F.lit(1), F.ceil(F.round(F.col("_all") * p, 6)))
     first = lambda p: (F.col("_to") >= rank(p)) & (F.col("_to") - F.col("n") < rank(p))

@@ -59,8 +59,9 @@ def _pay(spark: SparkSession, d: str, *more: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Groups of at least 15 rows whose 90th percentile is at least twice the median."""
-    rows = _pay(spark, d).where(" and ".join(f"{c} is not null" for c in GROUP))
-    got = quantiles.percentiles(quantiles.frequencies(rows, GROUP, "salary_rub_median"), GROUP, {"p50": 0.5, "p90": 0.9})
+    rows = table(spark, d, "weekly_role_salary").where(" and ".join(f"{c} is not null" for c in GROUP))
+    counts = quantiles.row_frequencies(rows, GROUP, "salary_rub_median", "row_id")
+    got = quantiles.percentiles(counts, GROUP, {"p50": 0.5, "p90": 0.9})
     return got.where("n >= 15 and p90 >= 2 * p50").select(*GROUP)
 
 
