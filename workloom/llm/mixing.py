@@ -108,7 +108,8 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", source: str
     records: (id, source, tokens, repeats, first_position) of every record of a target source that is
     used, repeats being at most the source's cap. copies: (id, source, tokens, copy, position), one row
     for each copy, range-sorted by position, the moment of training from 0 to 1. shares: (source,
-    target_share, reached_share, cap, most_repeats, supply, demand, reached, shortfall), all in tokens.
+    target_share, reached_share, cap, most_repeats, supply, demand, reached, shortfall), all in tokens;
+    the shortfall is what the cap keeps a source from giving, rounding to whole records aside.
 
     A source's records are laid out in a fixed shuffled order (hash of id). Its demand is read off
     that line, passing over it again and again: a record is used once in every whole pass, and once
@@ -146,6 +147,6 @@ def mix(docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", source: str
     whole = both.agg(F.sum("reached").alias("whole"))  # one row
     report = both.crossJoin(F.broadcast(whole)).select(
         "source", "target_share", F.coalesce(F.try_divide("reached", "whole"), F.lit(0.0)).alias("reached_share"),
-        "cap", "most_repeats", "supply", "demand", "reached", F.greatest(F.col("demand") - F.col("reached"), F.lit(0)).alias("shortfall"),
+        "cap", "most_repeats", "supply", "demand", "reached", "shortfall",
     )
     return records, copies, report
