@@ -20,8 +20,10 @@ def run(spark, docs, items, **kw):
 
 
 def brute(docs, items, n=12):
-    words = lambda t: re.findall(r"\w+", (t or "").lower())
-    runs = lambda t: {tuple(words(t)[k : k + n]) for k in range(len(words(t)) - n + 1)}
+    def runs(t):
+        w = re.findall(r"\w+", (t or "").lower())
+        return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+
     return {(d, i) for d, x in docs for i, y in items if d is not None and runs(x) & runs(y)}
 
 

@@ -17,14 +17,14 @@ def text(level, rnd):
 def tables(spark, n=240):
     rnd = random.Random(6)
     docs = [(i, text(1 + i % 4, rnd), "x") for i in range(n)]
-    labels = [(i, r, min(4, max(1, 1 + i % 4 + (rnd.random() < 0.08)))) for i in range(0, n, 2) for r in "ab"] + [(i, "c", 1 + i % 4) for i in range(1, n, 4)] + [(0, "d", None), (None, "d", 3), (10**9, "d", 3)]
+    labels = [(i, r, min(4, max(1, 1 + i % 4 + (rnd.random() < 0.08)))) for i in range(n) if i % 8 < 4 for r in "ab"] + [(0, "d", None), (None, "d", 3), (10**9, "d", 3)]
     return spark.createDataFrame(docs, "doc_id bigint, text string, level string"), spark.createDataFrame(labels, "doc_id bigint, rater string, level int")
 
 
 def test_held_out_accuracy(spark):
     docs, labels = tables(spark)
     got = {r.id: r for r in readlevel.reading_levels(docs, labels).collect()}
-    fresh = [i for i in got if i % 4 == 3]
+    fresh = [i for i in got if i % 8 >= 4]
     assert len(got) == 240 and np.mean([got[i].level == 1 + i % 4 for i in fresh]) > 0.85
     scores = {k: np.mean([got[i].score for i in got if i % 4 == k]) for k in range(4)}
     assert scores[0] < scores[1] < scores[2] < scores[3]

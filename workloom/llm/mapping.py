@@ -36,6 +36,7 @@ BESIDE = frozenset(
 )
 
 _WORD = re.compile(r"[^\W_]+")
+_CYRILLIC = re.compile(r"[А-Яа-яЁё]")
 
 
 def fold(text: str) -> str:
@@ -55,7 +56,7 @@ def spell(text: str) -> str:
 def _unmix(text: str) -> str:
     """Words that mix both alphabets in Cyrillic letters only."""
     table = str.maketrans(LOOK_LATIN, LOOK_CYRILLIC)
-    return re.sub(r"\w*[А-Яа-яЁё]\w*", lambda m: m[0].translate(table), text)
+    return re.sub(r"\w+", lambda m: m[0].translate(table) if _CYRILLIC.search(m[0]) else m[0], text)
 
 
 def distance(a: str, b: str, limit: int) -> int:

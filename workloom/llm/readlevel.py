@@ -158,11 +158,14 @@ class Ordinal:
         x = _spread(x)
         self.mean, self.scale = x.mean(0), np.where(x.std(0) > 1e-9, x.std(0), 1.0)
         z, k = (x - self.mean) / self.scale, len(levels) - 1
+        if not k:
+            self.w, self.cut = np.zeros(z.shape[1]), np.empty(0)
+            return self
         rank = np.searchsorted(levels, y)
         share = np.cumsum(np.bincount(rank, weights=weight, minlength=k + 1))[:-1] / weight.sum()
         share = np.clip(share, 1e-3, 1 - 1e-3)
         cut0 = np.log(share / (1 - share))
-        p = np.concatenate((np.zeros(z.shape[1]), [cut0[0]] if k else [], np.log(np.maximum(np.diff(cut0), 1e-3))))
+        p = np.concatenate((np.zeros(z.shape[1]), [cut0[0]], np.log(np.maximum(np.diff(cut0), 1e-3))))
         m, v = np.zeros_like(p), np.zeros_like(p)
         d = z.shape[1]
         for t in range(1, steps + 1):
@@ -174,7 +177,7 @@ class Ordinal:
 
     @staticmethod
     def _cuts(q: np.ndarray) -> np.ndarray:
-        return np.concatenate((q[:1], q[:1].sum() + np.cumsum(np.exp(q[1:])))) if len(q) else q
+        return np.concatenate((q[:1], q[0] + np.cumsum(np.exp(q[1:]))))
 
     def _gradient(self, p, z, rank, weight, d, k, penalty):
         cut = self._cuts(p[d:])
