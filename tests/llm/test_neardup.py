@@ -71,3 +71,17 @@ def test_salting_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(neardup, "POSTINGS", 2)
     got = neardup.expand(*neardup.similar_pairs(frame(spark, docs), "key", "body", size=2, t=0.5)).collect()
     assert {(r.id_a, r.id_b) for r in got} == brute(docs, 2, 0.5)
+
+
+def test_large_groups_list_every_pair(spark):
+    forms = ("A b c d e f g h", "a, b c d e f g h!", "a b c d e f g h")
+    docs = [(f"c{i:03d}", forms[i % 3]) for i in range(205)] + [(f"d{i:03d}", "a b c d e f g h i") for i in range(203)] + [("near", "z a b c d e f g h")]
+    got = neardup.expand(*neardup.similar_pairs(frame(spark, docs), "key", "body", size=2, t=0.7)).collect()
+    assert {(r.id_a, r.id_b) for r in got} == brute(docs, 2, 0.7) and len(got) == len(set(got))
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    docs = texts(9) + [(f"c{i:02d}", "a b c d e f g h") for i in range(30)] + [("near", "a b c d e f g h i")]
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    got = neardup.expand(*neardup.similar_pairs(frame(spark, docs), "key", "body", size=2, t=0.5)).collect()
+    assert {(r.id_a, r.id_b) for r in got} == brute(docs, 2, 0.5) and len(got) == len(set(got))

@@ -27,9 +27,8 @@ SKETCH = 1 << 20
 SEGMENTS, CHAIN = 8, 4
 #: Records of one run that a join task meets at most on the replicated side.
 POSTINGS = 2_000
-#: Copies of one content up to which all their pairs are listed; larger groups are listed as links to
-#: their first record, which name the same group.
-LISTED_COPIES = 200
+#: Records of one content that are paired at a time; a larger content is dealt over several blocks.
+BLOCK = 500
 
 
 def _content(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -209,22 +208,35 @@ def _id(rep: str) -> Column:
     return F.substring_index(F.col(rep), "\u001f", 1)
 
 
-def expand(pairs: DataFrame, members: DataFrame, listed: int = LISTED_COPIES) -> DataFrame:
+def expand(pairs: DataFrame, members: DataFrame, listed: int | None = None) -> DataFrame:
     """(id_a, id_b), id_a < id_b: the pairs of records behind pairs of contents and copies.
 
-    Of a content with at most `listed` copies every pair is listed. A larger one is represented by
-    its first record: each copy is paired with it, and so are the records alike to that content,
-    which keeps every link between different texts and every record's group.
+    Every pair is listed, whatever the size of a content: its records are dealt over blocks of about
+    BLOCK, and block meets block, so that no task holds a content as a whole. Only a caller that gives
+    `listed` gets links instead of pairs: a content with more records than that is represented by its
+    first one, with which each of its copies and the records alike to it are paired.
     """
     counts = members.groupBy("rep").agg(F.count("*").alias("k"), F.min("id").alias("first"))
     m = materialise(members.join(counts, "rep"), "copies")
-    shown = m.where(F.col("k") <= listed).select("rep", "id").unionByName(m.where((F.col("k") > listed) & (F.col("id") == F.col("first"))).select("rep", "id"))
-    x, y = shown.select(F.col("rep").alias("a"), F.col("id").alias("i")), shown.select(F.col("rep").alias("b"), F.col("id").alias("j"))
-    between = pairs.select("a", "b").join(x, "a").join(y, "b").select("i", "j")
-    small = m.where((F.col("k") > 1) & (F.col("k") <= listed))
-    inside = small.select("rep", F.col("id").alias("i")).join(small.select("rep", F.col("id").alias("j")), "rep").where("i < j").select("i", "j")
-    star = m.where(F.col("k") > listed).select(F.col("first").alias("i"), F.col("id").alias("j"))
-    every = between.unionByName(inside).unionByName(star).where("i <> j")
+    star = None
+    if listed is not None:
+        star = m.where(F.col("k") > listed).select(F.col("first").alias("i"), F.col("id").alias("j"))
+        m = m.where((F.col("k") <= listed) | (F.col("id") == F.col("first"))).withColumn("k", F.when(F.col("k") <= listed, F.col("k")).otherwise(1))
+    m = m.withColumn("blocks", F.ceil(F.col("k") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    sizes = m.select("rep", "k", "blocks").distinct()
+    of = lambda side: sizes.select(F.col("rep").alias(side), F.col("blocks").alias(f"{side}_blocks"))
+    blocks = lambda side: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{side}_blocks") - 1)).alias(f"{side}_block")
+    between = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "b_blocks", blocks("a")).select("a", "a_block", "b", blocks("b"))
+    inside = sizes.where("k > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.col("blocks").alias("a_blocks"), F.col("blocks").alias("b_blocks"))
+    inside = inside.select("a", "b", "b_blocks", blocks("a")).select("a", "a_block", "b", blocks("b")).where("a_block <= b_block")
+    met = between.unionByName(inside)
+    x, y = (m.select(F.col("rep").alias(s), F.col("block").alias(f"{s}_block"), F.col("id").alias(i)) for s, i in (("a", "i"), ("b", "j")))
+    every = met.join(x, ["a", "a_block"]).join(y, ["b", "b_block"])
+    # two records of one block of one content meet from either side
+    every = every.where((F.col("a") != F.col("b")) | (F.col("a_block") != F.col("b_block")) | (F.col("i") < F.col("j"))).select("i", "j")
+    if star is not None:
+        every = every.unionByName(star)
+    every = every.where("i <> j")
     return every.select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b")).distinct()
 
 
