@@ -127,6 +127,18 @@ def build(lake: DataFrame, rates: DataFrame, *, since=None, details: DataFrame |
     return out.select(*[F.col(f.name).cast(f.dataType) for f in SLIM.fields])
 
 
+#: Characters of a description that its teaser has at most.
+TEASER = 500
+
+
+def details_of(adverts: DataFrame) -> DataFrame:
+    """(vacancy_id, description_teaser, description_fts) from adverts: the whole text, and its start cut
+    between words. Of several texts of a vacancy the latest first seen counts."""
+    rows = adverts.where("vacancy_id is not null and text is not null").groupBy("vacancy_id").agg(F.max_by("text", F.struct("first_seen_at", "text")).alias("t"))
+    start = F.regexp_replace(F.left("t", F.lit(TEASER)), r"(?s)^(.+) [^ ]*$", "$1")
+    return rows.select("vacancy_id", F.when(F.length("t") > TEASER, start).otherwise(F.col("t")).alias("description_teaser"), F.col("t").alias("description_fts"))
+
+
 #: Pictures and marks that a cleaned title has not.
 _PICTURES = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2190}-\x{21FF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}\x{FE00}-\x{FE0F}\x{200D}]+"
 _EDGE = r"[\s\-–—|·•:]+"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workloom.functions import extract, rules
+from workloom.functions import extract, regions, rules
 from workloom.operators import dedup, slim as slim_op, vectors
 from workloom.operators.cumulative import nearest_rank, running_totals
 from workloom.plans.views import SLIM_SQL, adverts, slim
@@ -97,6 +97,19 @@ def _encoding(s, d):
     return vectors.encoding_plan(new, old, "vacancy_id", "h")
 
 
+#: Postings of the snapshot were seen from then on.
+ACTIVE_SINCE = "2026-05-12 00:00:00"
+
+
+def _snapshot(s, d, source=None, since=None):
+    lake = table(s, d, "raw_lake")
+    by_city, by_subject = regions.maps(table(s, d, "city_reference"))
+    return slim_op.build(
+        lake if source is None else lake.where(F.col("source") == source), table(s, d, "cbr_rates"), since=None if since is None else F.lit(since).cast("timestamp"),
+        details=slim_op.details_of(table(s, d, "vacancies")), by_city=by_city, by_subject=by_subject,
+    )
+
+
 def _every_20th(s, d, stored=None):
     e = table(s, d, "embeddings")
     got = vectors.neighbours(e.where("vec_id % 20 = 0"), e if stored is None else e.where(stored), "vec_id", "embedding", 10)
@@ -118,9 +131,9 @@ QUERIES = {
     "skill_extract": lambda s, d: adverts(s, d).select("vacancy_id", extract.skills(F.col("text")).alias("skills")),
     "title_clean": lambda s, d: adverts(s, d).select("vacancy_id", slim_op.clean_title(F.col("title")).alias("title")),
     "html_text": lambda s, d: adverts(s, d).select("vacancy_id", extract.html_text(F.concat(F.lit("<div data-x='1'><p>"), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", "<br>"), F.lit("</p></div>"))).alias("text")),
-    "slim_snapshot": lambda s, d: slim_op.build(table(s, d, "raw_lake"), table(s, d, "cbr_rates"), since=F.lit("2026-05-12 00:00:00").cast("timestamp")),
-    "artifact_rows": lambda s, d: slim_op.artifact_rows(slim_op.build(table(s, d, "raw_lake"), table(s, d, "cbr_rates"), since=F.lit("2026-05-12 00:00:00").cast("timestamp"))),
-    "chat_messages_to_slim": lambda s, d: slim_op.build(table(s, d, "raw_lake").where("source = 'telegram'"), table(s, d, "cbr_rates")),
+    "slim_snapshot": lambda s, d: _snapshot(s, d, since=ACTIVE_SINCE),
+    "artifact_rows": lambda s, d: slim_op.artifact_rows(_snapshot(s, d, since=ACTIVE_SINCE)),
+    "chat_messages_to_slim": lambda s, d: _snapshot(s, d, "telegram"),
     "near_duplicates_exact": _pairs,
     "near_duplicates_members": _members,
     "near_duplicates_lsh": _lsh,
