@@ -20,6 +20,15 @@ def test_runs(spark, data, name):
     assert df.columns and len(df.collect()) >= 0
 
 
+def test_unmatched_reports_both_fields(spark, data):
+    found = QUERIES["p2_found"](spark, data).where("ref_id = -1")
+    got = [r.asDict() for r in QUERIES["p2_unmatched"](spark, data).collect()]
+    want = {r["field"]: r["count"] for r in found.groupBy("field").count().collect()}
+    assert set(want) == {"city", "role_canonical"}
+    assert {f: sum(r["records"] for r in got if r["field"] == f) for f in want} == want
+    assert len({(r["field"], r["value"]) for r in got}) == len(got)
+
+
 def test_nothing_outside_imports_the_package():
     import pathlib
 

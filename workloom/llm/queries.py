@@ -9,8 +9,8 @@ from workloom.llm import components, leakage, lookalikes, mapping, mixing, neard
 from workloom.runtime import table
 
 
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """The reference entry that each typed city and role means."""
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    """(field, record_id, value, ref_id) of every typed city and role, with rows as often as recorded."""
     out = []
     for field, of, record, value, ref, key, name in (
         ("city", "vacancies", "vacancy_id", "city", "city_reference", "city_id", "city"),
@@ -19,16 +19,18 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
         reference = table(spark, d, ref)
         typed = mapping.typed_values(table(spark, d, of), record, value, reference, name)
         mapped = mapping.map_values(typed, "value", reference, key, name, "aliases")
-        out.append(mapped.select(F.lit(field).alias("field"), "record_id", "ref_id").where("record_id is not null"))
-    return out[0].unionByName(out[1]).distinct()
+        out.append(mapped.select(F.lit(field).alias("field"), "record_id", "value", "ref_id").where("record_id is not null"))
+    return out[0].unionByName(out[1])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The reference entry that each typed city and role means."""
+    return _mapped(spark, d).select("field", "record_id", "ref_id").distinct()
 
 
 def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    """The report of values that mean no entry, with their number of records."""
-    reference = table(spark, d, "role_reference")
-    roles = mapping.typed_values(table(spark, d, "weekly_role_salary"), "row_id", "role_canonical", reference, "role_canonical").distinct()
-    mapped = mapping.map_values(roles, "value", reference, "role_id", "role_canonical", "aliases")
-    return mapped.where("ref_id = -1").groupBy("value").agg(F.count("*").alias("records"))
+    """The report of cities and roles that mean no entry, with their number of records."""
+    return _mapped(spark, d).where("ref_id = -1").distinct().groupBy("field", "value").agg(F.count("*").alias("records"))
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
