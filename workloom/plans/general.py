@@ -23,9 +23,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_review(spark: SparkSession, d: str) -> DataFrame:
-    """Rows whose unit is neither stated nor predicted with enough confidence, and why."""
-    out = units.monthly_roubles(table(spark, d, "salary_parses"), table(spark, d, "cbr_rates"), table(spark, d, "pay_periods"), conventions=False)
-    return out.groupBy(F.coalesce("review", F.lit("converted")).alias("outcome"), "currency_from", "period_from", "scale_from").agg(F.count("*").alias("n"))
+    """One row for each row with a bound: its outcome in p3_found, where TESTDATA's rules give the units
+    that are not stated, and its outcome when these are predicted, each `converted` or the reason why not."""
+    out = []
+    for prefix, conventions in (("", True), ("predicted_", False)):
+        got = units.monthly_roubles(table(spark, d, "salary_parses"), table(spark, d, "cbr_rates"), table(spark, d, "pay_periods"), conventions=conventions)
+        named = [F.coalesce("review", F.lit("converted")).alias(f"{prefix}outcome"), *(F.col(c).alias(f"{prefix}{c}") for c in ("currency_from", "period_from", "scale_from"))]
+        out.append(got.select("parse_id", *named).distinct())
+    return out[0].join(out[1], "parse_id")
 
 
 QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_review": p3_review}
