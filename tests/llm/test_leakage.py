@@ -69,3 +69,27 @@ def test_every_mask_hits_an_equal_window_and_some_mask_a_changed_one():
         g = h.copy()
         g[p] = 99
         assert any(s.tolist() == o for (_, _, s), o in zip(leakage.seeds(g), one)) or p in (0, 11) or all(m[p] == "1" for m in leakage.MASKS)
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("at", [3, 6, 7])
+def test_a_second_part_on_the_same_diagonal_counts(spark, at, limit):
+    item = [f"i{k}" for k in range(60)]
+    doc = [f"x{k}" for k in range(60)]
+    doc[:12], doc[40:52] = item[:12], item[40:52]
+    doc[at] = "other"
+    got = run(spark, [(1, " ".join(doc))], [(1, " ".join(item))], broadcast_words=limit)
+    assert got[1, 1][0] == 12
+
+
+def test_both_plans_give_the_same_on_the_tables(spark, data):
+    docs, items = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "eval_items"))
+    both = [sorted(tuple(r) for r in leakage.leaks(docs, "doc_id", "text", items, "item_id", "text", broadcast_words=n).collect()) for n in (10**9, 0)]
+    assert both[0] == both[1] and both[0]
+
+
+def test_a_hit_inside_a_seen_overlap_is_passed_over():
+    w = np.arange(1, 2001, dtype=np.uint64)
+    d = leakage.Diagonal(w, w, 5, 5)
+    assert d.overlap(5) == (2000, 2000, 2000)
+    assert all(d.overlap(k) is None for k in range(0, 1989, 7)) and len(d.seen) == 1

@@ -19,6 +19,8 @@ SPAN = 12
 #: Words of all evaluation texts together up to which their seeds are sent to every worker; more are
 #: joined in Spark instead.
 BROADCAST_WORDS = 2_000_000
+#: Tasks over which the documents of one seed are dealt when seeds are joined.
+SALTS = 8
 #: Of the words that an overlap spans around a hit, at most one in so many may be replaced.
 REPLACED_ONE_IN = 6
 
@@ -49,27 +51,43 @@ def seeds(h: np.ndarray, known: np.ndarray | None = None) -> Iterator[tuple[int,
         yield m, at, out
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, d: int, i: int) -> tuple[int, int, int]:
-    """(longest run of equal words, words spanned, of them equal) of the overlap around a hit at
-    doc[d] and item[i]. It reaches as far along the diagonal as, counted from the hit's window, at
-    most one word in REPLACED_ONE_IN is replaced, and ends with equal words."""
-    back, ahead = min(d, i), min(len(doc) - d, len(item) - i)
-    same = doc[d - back : d + ahead] == item[i - back : i + ahead]
-    lo, hi = back, min(back + SPAN, len(same))
-    wrong = np.concatenate(([0], np.cumsum(~same)))
-    ends = np.arange(hi, len(same) + 1)
-    good = ends[(wrong[ends] - wrong[lo]) * REPLACED_ONE_IN <= ends - lo]
-    hi = int(good.max()) if len(good) else hi
-    starts = np.arange(0, lo + 1)
-    good = starts[(wrong[hi] - wrong[starts]) * REPLACED_ONE_IN <= hi - starts]
-    lo = int(good.min()) if len(good) else lo
-    part = same[lo:hi]
-    hits = np.flatnonzero(part)
-    if not len(hits):
-        return 0, 0, 0
-    part = part[hits[0] : hits[-1] + 1]
-    gaps = np.flatnonzero(np.concatenate(([True], ~part, [True])))
-    return int(np.diff(gaps).max() - 1), len(part), int(part.sum())
+class Diagonal:
+    """A document and an item laid side by side at one shift: which of their words are equal, once for
+    all hits of that shift."""
+
+    def __init__(self, doc: np.ndarray, item: np.ndarray, d: int, i: int):
+        back, ahead = min(d, i), min(len(doc) - d, len(item) - i)
+        self.start = d - back
+        self.same = doc[d - back : d + ahead] == item[i - back : i + ahead]
+        self.wrong = np.concatenate(([0], np.cumsum(~self.same)))
+        self.seen: list[tuple[int, int]] = []
+
+    def overlap(self, d: int) -> tuple[int, int, int] | None:
+        """(longest run of equal words, words spanned, of them equal) of the overlap around the hit whose
+        window starts at word d of the document; None if the window lies in an overlap seen before.
+
+        The overlap reaches as far as, counted from the window, at most one word in REPLACED_ONE_IN is
+        replaced. Words equal to the item's always extend it, so a run that touches a window inside a
+        seen overlap is inside too, and nothing is lost by passing over that window."""
+        lo = d - self.start
+        hi = min(lo + SPAN, len(self.same))
+        if any(a <= lo and hi <= b for a, b in self.seen):
+            return None
+        wrong = self.wrong
+        ends = np.arange(hi, len(self.same) + 1)
+        good = ends[(wrong[ends] - wrong[lo]) * REPLACED_ONE_IN <= ends - lo]
+        hi = int(good[-1]) if len(good) else hi
+        starts = np.arange(0, lo + 1)
+        good = starts[(wrong[hi] - wrong[starts]) * REPLACED_ONE_IN <= hi - starts]
+        lo = int(good[0]) if len(good) else lo
+        self.seen.append((lo, hi))
+        part = self.same[lo:hi]
+        hits = np.flatnonzero(part)
+        if not len(hits):
+            return 0, 0, 0
+        part = part[hits[0] : hits[-1] + 1]
+        gaps = np.flatnonzero(np.concatenate(([True], ~part, [True])))
+        return int(np.diff(gaps).max() - 1), len(part), int(part.sum())
 
 
 class Items:
@@ -119,20 +137,21 @@ def _scan(texts: list[str | None], items: Items) -> dict[tuple[int, int], tuple[
     known = (items.vocabulary[where] == flat) if len(items.vocabulary) else np.zeros(len(flat), bool)
     first = np.array(starts)
     found: dict = {}
-    done: set = set()
+    diagonals: dict[tuple[int, int, int], Diagonal] = {}
     for m, pos, s in seeds(flat, known):
         index, of, inside = items.index[m]
         lo, hi = np.searchsorted(index, s, "left"), np.searchsorted(index, s, "right")
         for k in np.flatnonzero(hi > lo):
             d = int(np.searchsorted(first, pos[k], "right") - 1)
-            doc = flat[first[d] : (first[d + 1] - SPAN if d + 1 < len(first) else len(flat) - SPAN)]
+            at = int(pos[k] - first[d])
             for j in range(lo[k], hi[k]):
-                diagonal = (d, int(of[j]), int(pos[k]) - int(inside[j]))
-                got = overlap(doc, items.words[of[j]], int(pos[k] - first[d]), int(inside[j]))
-                if diagonal in done and got[1] <= SPAN:
-                    continue
-                done.add(diagonal)
-                _best(found, (d, int(of[j])), got)
+                n, i = int(of[j]), int(inside[j])
+                key = (d, n, at - i)
+                if key not in diagonals:
+                    end = first[d + 1] - SPAN if d + 1 < len(first) else len(flat) - SPAN
+                    diagonals[key] = Diagonal(flat[first[d] : end], items.words[n], at, i)
+                if (got := diagonals[key].overlap(at)) is not None:
+                    _best(found, (d, n), got)
     return found
 
 
@@ -201,15 +220,21 @@ def _seed_rows(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _joined(docs: DataFrame, tests: DataFrame, schema: str) -> DataFrame:
-    seeds_of_tests = materialise(_seed_rows(tests, "item", "test").distinct(), "test-seeds")
-    hits = _seed_rows(docs, "doc", "text").join(seeds_of_tests, "seed").select("doc", "item").distinct()
+    """leaks by a join of the seeds. A seed that many documents have is dealt over SALTS tasks; the rows
+    of documents with hits are read again and each batch is scanned against its own items at once."""
+    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).alias("salt")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
+    seeds_of_tests = materialise(_seed_rows(tests, "item", "test").distinct(), "test-seeds").select("item", "seed", copies)
+    hits = _seed_rows(docs, "doc", "text").select("*", salt).join(seeds_of_tests, ["seed", "salt"]).select("doc", "item").distinct()
     both = materialise(hits, "hits").join(docs, "doc").join(tests, "item").select("doc", "text", "item", "test")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc, text, item, test in zip(*[c.to_pylist() for c in b.columns]):
-                rows += [(doc, item, *got) for got in _scan([text], Items([item], [test])).values()]
-            yield _rows(rows)
+            wanted = list(zip(*[c.to_pylist() for c in b.columns]))
+            texts, tested = sorted({(d, t) for d, t, _, _ in wanted if t is not None}), sorted({(i, t) for _, _, i, t in wanted if t is not None})
+            got = _scan([t for _, t in texts], Items([i for i, _ in tested], [t for _, t in tested]))
+            asked = {(d, i) for d, _, i, _ in wanted}
+            named = [(texts[x][0], tested[y][0], best) for (x, y), best in got.items()]
+            yield _rows([(d, i, *best) for d, i, best in named if (d, i) in asked])
 
     return _one(both.mapInArrow(run, schema))
