@@ -46,3 +46,34 @@ def test_a_record_with_two_texts_is_no_pair_with_itself(spark):
 def test_many_equal_rows_and_one_variant(spark):
     df = spark.createDataFrame([("t", f"{i:05d}", "Кот") for i in range(3000)] + [("t", "x", "Koт")], "field string, id string, text string")
     assert lookalikes.lookalike_pairs(df).count() == 3000
+
+
+def test_what_is_invisible_hides_no_joiner(spark):
+    woman, computer, zwj, sel = "\U0001f469", "\U0001f4bb", "\u200d", "\ufe0f"
+    got = forms(spark, woman + zwj + computer, woman + "\u200b" + zwj + computer, woman + zwj + "\u00ad" + computer, "\u2709" + sel, "\u2709\u2060" + sel, woman + computer, "\u2709")
+    assert got[0] == got[1] == got[2] and got[3] == got[4] and len({got[0], got[3], got[5], got[6]}) == 4
+
+
+def test_joiner_without_a_second_picture_and_selector_that_changes_nothing(spark):
+    fire, check, zwj, sel = "\U0001f525", "\u2705", "\u200d", "\ufe0f"
+    got = forms(spark, fire + zwj + " go", fire + " go", fire + sel + " go", check + sel, check)
+    assert got[0] == got[1] == got[2] and got[3] == got[4]
+
+
+def test_compatibility_forms(spark):
+    got = forms(spark, "o\ufb03ce", "office", "\u00b5", "\u03bc", "\u2163", "IV", "\u2169", "X", "\u04c0", "I", "\u03bdia", "via")
+    assert all(got[k] == got[k + 1] for k in range(0, 12, 2))
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lookalikes, "BLOCK", 4)
+    df = spark.createDataFrame([("t", f"{i:02d}", "Кот") for i in range(30)] + [("t", f"x{i}", "Koт") for i in range(9)], "field string, id string, text string")
+    rows = lookalikes.lookalike_pairs(df).collect()
+    assert len(rows) == len({tuple(r) for r in rows}) == 270
+
+
+def test_classes(spark):
+    rows = [("t", "b", "Кот"), ("t", "a", "Koт"), ("t", "c", "Кот"), ("t", "c", "Кот"), ("u", "a", "Кот"), ("t", "d", None), ("t", "e", "кот")]
+    df = spark.createDataFrame(rows, "field string, id string, text string")
+    got = sorted(tuple(r) for r in lookalikes.lookalike_classes(df).collect())
+    assert got == [("t", "a", "a", 2), ("t", "b", "a", 2), ("t", "c", "a", 2), ("t", "e", "e", 1), ("u", "a", "a", 1)]

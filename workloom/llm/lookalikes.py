@@ -9,8 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Slices of the rows of one text, so a text that most rows have is spread when pairs are listed.
-SALTS = 16
+from workloom.runtime import materialise
+
+#: Records of one text that a task of the pair listing meets at most; a more frequent text is dealt over
+#: several tasks.
+BLOCK = 2_000
 
 # Letters of other alphabets and the Latin letter they look like.
 LOOKALIKES = {
@@ -19,13 +22,30 @@ LOOKALIKES = {
     "а": "a", "е": "e", "ё": "ë", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ї": "ï",
     "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
-    "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
+    "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J", "µ": "μ",
+    "Ӏ": "I", "ӏ": "l", "Ѵ": "V", "ѵ": "v", "Ⅰ": "I", "Ⅴ": "V", "Ⅹ": "X", "Ⅼ": "L", "Ⅽ": "C", "Ⅾ": "D", "Ⅿ": "M",
+    "ⅰ": "i", "ⅴ": "v", "ⅹ": "x", "ⅼ": "l", "ⅽ": "c", "ⅾ": "d", "ⅿ": "m",
     "‐": "-", "‑": "-", "ʼ": "’", "∕": "/", "⁄": "/",
 }
+# Characters that look like several letters in a row.
+JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st", "Ⅱ": "II", "Ⅲ": "III", "Ⅳ": "IV", "Ⅵ": "VI", "Ⅶ": "VII", "Ⅷ": "VIII", "Ⅸ": "IX", "Ⅺ": "XI", "Ⅻ": "XII"}
 # Pictures, the only characters that a joiner or a variation selector visibly changes.
 PICTURES = r"[\x{203C}-\x{2049}\x{2122}-\x{21AA}\x{2300}-\x{27BF}\x{2934}-\x{2B55}\x{3030}-\x{303D}\x{3297}-\x{3299}\x{1F000}-\x{1FAFF}\x{FE0F}\x{1F3FB}-\x{1F3FF}]"
 
 
+# Characters below U+1F000 that are drawn as pictures without a variation selector.
+PICTURES_BY_DEFAULT = (
+    r"\x{231A}\x{231B}\x{23E9}-\x{23EC}\x{23F0}\x{23F3}\x{25FD}\x{25FE}\x{2614}\x{2615}\x{2648}-\x{2653}\x{267F}\x{2693}\x{26A1}\x{26AA}\x{26AB}\x{26BD}\x{26BE}"
+    r"\x{26C4}\x{26C5}\x{26CE}\x{26D4}\x{26EA}\x{26F2}\x{26F3}\x{26F5}\x{26FA}\x{26FD}\x{2705}\x{270A}\x{270B}\x{2728}\x{274C}\x{274E}\x{2753}-\x{2755}\x{2757}"
+    r"\x{2795}-\x{2797}\x{27B0}\x{27BF}\x{2B1B}\x{2B1C}\x{2B50}\x{2B55}"
+)
+# Characters from U+1F000 on that are drawn as text without a variation selector.
+TEXT_BY_DEFAULT = (
+    r"\x{1F170}-\x{1F189}\x{1F202}\x{1F237}\x{1F321}-\x{1F32C}\x{1F336}\x{1F37D}\x{1F396}-\x{1F39F}\x{1F3CB}-\x{1F3CE}\x{1F3D4}-\x{1F3DF}\x{1F3F3}-\x{1F3F7}\x{1F43F}\x{1F441}"
+    r"\x{1F4FD}\x{1F549}\x{1F54A}\x{1F56F}-\x{1F579}\x{1F587}-\x{1F590}\x{1F5A5}-\x{1F5FA}\x{1F6CB}\x{1F6CD}-\x{1F6CF}\x{1F6E0}-\x{1F6E9}\x{1F6F0}-\x{1F6F3}"
+)
+
+
 def width_forms() -> dict[str, str]:
     """Characters that differ from another one only in width or in where a line may break."""
     out = {}
@@ -51,18 +71,25 @@ def invisible() -> str:
 def form_sql(column: str) -> str:
     """The DuckDB expression of the consistent form.
 
-    Invisible characters go; a joiner or a variation selector stays only after a picture, which it
-    changes. Width forms and spaces become ordinary ones, combining marks are composed, look-alike
-    letters become the Latin one. Case, ё against е, digits, punctuation and line breaks stay.
+    Invisible characters go first, so that none hides what a joiner or a selector belongs to. A joiner
+    stays between two pictures only, a variation selector only after a character that is not drawn as a
+    picture without it. Width forms and spaces become ordinary ones, combining marks are composed,
+    look-alike letters become the Latin one. Case, ё against е, digits, punctuation and line breaks stay.
     """
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     wide = width_forms()
     pic = PICTURES
-    joined = f"regexp_replace({column}, '({pic})\\x{{200D}}', '\\1' || chr(57344), 'g')"
-    marked = f"regexp_replace({joined}, '({pic})\\x{{FE0F}}', '\\1' || chr(57345), 'g')"
-    bare = f"regexp_replace({marked}, {quote(invisible() + '|[' + chr(0x200D) + chr(0xFE0E) + chr(0xFE0F) + ']')}, '', 'g')"
+    text_like = f"[{TEXT_BY_DEFAULT}]|[\\x{{203C}}-\\x{{303D}}\\x{{3297}}-\\x{{3299}}]"
+    seen = f"regexp_replace({column}, {quote(invisible())}, '', 'g')"
+    plain = f"regexp_replace({seen}, '([{PICTURES_BY_DEFAULT}])\\x{{FE0F}}', '\\1', 'g')"
+    marked = f"regexp_replace({plain}, '({text_like})\\x{{FE0F}}', '\\1' || chr(57345), 'g')"
+    joined = f"regexp_replace({marked}, '({pic}|' || chr(57345) || ')\\x{{200D}}', '\\1' || chr(57344), 'g')"
+    between = f"regexp_replace({joined}, chr(57344) || '({pic[:-1].replace('[', '[^', 1)}]|$)', '\\1', 'g')"
+    bare = f"regexp_replace({between}, {quote('[' + chr(0x200D) + chr(0xFE0E) + chr(0xFE0F) + ']')}, '', 'g')"
     back = f"replace(replace({bare}, chr(57344), chr(8205)), chr(57345), chr(65039))"
     narrow = f"translate({back}, {quote(''.join(wide))}, {quote(''.join(wide.values()))})"
+    for one, many in JOINED.items():
+        narrow = f"replace({narrow}, '{one}', '{many}')"
     composed = f"nfc_normalize({narrow})"
     return f"translate({composed}, {quote(''.join(LOOKALIKES))}, {quote(''.join(LOOKALIKES.values()))})"
 
@@ -95,6 +122,14 @@ def forms(texts: DataFrame) -> DataFrame:
     return texts.select("field", "id", "text").mapInArrow(_forms, "field string, id string, text string, form string")
 
 
+def _told(texts: DataFrame) -> DataFrame:
+    """(field, id, f, t), once each: two 64-bit hashes of the form and of the text of every record. Written
+    to the shared folder, so that each form is made once however often it is looked at."""
+    wanted = texts.where("text is not null and id is not null")
+    both = lambda c: F.struct(F.xxhash64(c).alias("x"), F.xxhash64(F.lit(1), c).alias("y"))
+    return materialise(forms(wanted).select("field", "id", both(F.col("form")).alias("f"), both(F.col("text")).alias("t")), "forms").distinct()
+
+
 def lookalike_pairs(texts: DataFrame) -> DataFrame:
     """(field, id_a, id_b), id_a < id_b: different records of a field whose texts differ in their
     characters but have one form. Texts equal byte for byte are no pair; null texts and null ids
@@ -103,21 +138,27 @@ def lookalike_pairs(texts: DataFrame) -> DataFrame:
     Texts are compared by two 64-bit hashes of the form and of the text. Pairs are listed between the
     *distinct texts* of a form first and expanded to records only there, so a text that a third of
     all rows have costs nothing unless it has look-alikes, and then what the result itself holds;
-    its rows are salted.
+    the records of a text with more than BLOCK of them are dealt over several tasks.
     """
-    wanted = texts.where("text is not null and id is not null")
-    both = lambda c: F.struct(F.xxhash64(c).alias("x"), F.xxhash64(F.lit(1), c).alias("y"))
-    rows = forms(wanted).select("field", "id", both(F.col("form")).alias("f"), both(F.col("text")).alias("t")).distinct()
-    kinds = rows.groupBy("field", "f", "t").agg(F.lit(1).alias("one")).drop("one")
-    mixed = kinds.groupBy("field", "f").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    kinds = kinds.join(mixed, ["field", "f"], "left_semi")
+    rows = _told(texts)
+    counts = materialise(rows.groupBy("field", "f", "t").agg(F.count("*").alias("n")), "texts")
+    mixed = counts.groupBy("field", "f").agg(F.count("*").alias("k")).where("k > 1").drop("k")
+    kinds = counts.join(mixed, ["field", "f"], "left_semi").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     a, b = kinds.alias("a"), kinds.alias("b")
     texts2 = a.join(b, (F.col("a.field") == F.col("b.field")) & (F.col("a.f") == F.col("b.f")) & (F.col("a.t") < F.col("b.t")))
-    texts2 = texts2.select("a.field", F.col("a.t").alias("ta"), F.col("b.t").alias("tb"))
-    salt = F.pmod(F.hash("id"), F.lit(SALTS)).alias("s")
-    member = rows.join(mixed, ["field", "f"], "left_semi").select("field", "t", "id", salt)
-    every = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    left = texts2.withColumn("s", every).join(member.withColumnRenamed("t", "ta"), ["field", "ta", "s"])
-    left = left.select("field", "tb", F.col("id").alias("ia")).withColumn("s", every)
-    pairs = left.join(member.withColumnRenamed("t", "tb"), ["field", "tb", "s"])
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
+    texts2 = texts2.select("a.field", F.col("a.t").alias("ta"), F.col("b.t").alias("tb"), every("a.blocks").alias("sa"), F.col("b.blocks").alias("blocks"))
+    texts2 = texts2.select("field", "ta", "sa", "tb", every("blocks").alias("sb"))
+    member = rows.join(kinds.select("field", "f", "t", "blocks"), ["field", "f", "t"]).select("field", "t", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("s"))
+    left = texts2.join(member.select("field", F.col("t").alias("ta"), F.col("s").alias("sa"), F.col("id").alias("ia")), ["field", "ta", "sa"]).select("field", "tb", "sb", "ia")
+    pairs = left.join(member.select("field", F.col("t").alias("tb"), F.col("s").alias("sb"), "id"), ["field", "tb", "sb"])
     return pairs.where("ia <> id").select("field", F.least("ia", "id").alias("id_a"), F.greatest("ia", "id").alias("id_b")).distinct()
+
+
+def lookalike_classes(texts: DataFrame) -> DataFrame:
+    """(field, id, class_id, texts), one row for each record and form: class_id is the least id of the records
+    of the field that look the same, `texts` how many different texts they have. The form without
+    pairs: its size is that of the input. Cases as in lookalike_pairs."""
+    rows = _told(texts)
+    per = rows.groupBy("field", "f", "t").agg(F.min("id").alias("first")).groupBy("field", "f").agg(F.min("first").alias("class_id"), F.count("*").alias("texts"))
+    return rows.select("field", "id", "f").distinct().join(per, ["field", "f"]).select("field", "id", "class_id", "texts")

@@ -51,6 +51,11 @@ def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.forms(_texts(spark, d)).select("field", "id", "form").distinct()
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """For each record the first record that looks the same, and how many different texts do."""
+    return lookalikes.lookalike_classes(_texts(spark, d))
+
+
 GROUP = ["role_canonical", "seniority", "city"]
 
 
@@ -140,13 +145,21 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p4_found": p4_found, "p4_forms": p4_forms,
+    "p2_found": p2_found, "p2_unmatched": p2_unmatched, "p4_found": p4_found, "p4_forms": p4_forms, "p4_classes": p4_classes,
     "p5_found": p5_found, "p5_percentiles": p5_percentiles, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found,
     "p8_found": p8_found, "p8_overlaps": p8_overlaps, "p9_mix": p9_mix, "p9_order": p9_order, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_levels": p10_levels,
 }
 
+_FORMS = f"""t as (select distinct 'title' as field, vacancy_id as id, title as text from vacancies
+  union select 'message_text', 'tg:' || channel || ':' || message_id, text from tg_messages),
+f as (select field, id, text, {lookalikes.form_sql('text')} as form from t)"""
+
 SQL = {
+    "p4_found": f"""with {_FORMS} select distinct a.field, a.id as id_a, b.id as id_b from f a join f b on a.field = b.field and a.form = b.form and a.text <> b.text and a.id < b.id""",
+    "p4_forms": f"with {_FORMS} select distinct field, id, form from f",
+    "p4_classes": f"""with {_FORMS} select distinct field, id, class_id, texts from f
+join (select field, form, min(id) as class_id, count(distinct text) as texts from f where text is not null and id is not null group by all) using (field, form)""",
     "p6_found": """
 with w as (
   select distinct vacancy_id as id, regexp_extract_all(lower(concat_ws(' ', title, employer_name, text)), '[\\p{L}\\p{N}_]+') as w
