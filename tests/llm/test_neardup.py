@@ -85,3 +85,33 @@ def test_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     got = neardup.expand(*neardup.similar_pairs(frame(spark, docs), "key", "body", size=2, t=0.5)).collect()
     assert {(r.id_a, r.id_b) for r in got} == brute(docs, 2, 0.5) and len(got) == len(set(got))
+
+
+def test_the_chain_rejects_what_its_first_segment_lets_through_and_loses_nothing(spark):
+    rnd = random.Random(8)
+    parts = [" ".join(f"s{k}w{i}" for i in range(9)) for k in range(30)]
+    docs = [(f"d{i:03d}", " ".join(rnd.sample(parts, 11))) for i in range(250)]
+    docs += [(f"e{i:03d}", x.replace("w3", "other", 1)) for i, (_, x) in enumerate(docs[:25])]
+    sets, _ = neardup.contents(frame(spark, docs), "key", "body", 4)
+    index = neardup.segment_index(sets, neardup.frequency_sketch(sets), 0.7)
+    got = [{tuple(r) for r in neardup.candidates(index, 0.7, chain).collect()} for chain in range(1, neardup.CHAIN + 1)]
+    assert got[0] > got[1] > got[3] and len(got[3]) < len(got[0]) / 3
+    runs = {r.no: set(r.runs) for r in sets.collect()}
+    name = {r.no: r.id for r in sets.collect()}
+    alike = {(a, b) for a in runs for b in runs if a < b and len(runs[a] & runs[b]) >= 0.7 * len(runs[a] | runs[b])}
+    assert alike and alike <= got[3] and {tuple(sorted((name[a], name[b]))) for a, b in alike} == brute(docs, 4, 0.7)
+
+
+def test_both_sides_of_the_candidate_join_read_one_shuffle(spark):
+    docs = frame(spark, texts(3))
+    sets, _ = neardup.contents(docs, "key", "body", 2)
+    index = neardup.segment_index(sets, neardup.frequency_sketch(sets), 0.7)
+    got = neardup.candidates(index, 0.7)
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_id_with_several_texts_links_them(spark):
+    docs = [("a", "a b c d e f g h"), ("a", "q r s t u v w x"), ("b", "a b c d e f g i"), ("c", "q r s t u v w y")]
+    got = {r.id: (r.class_id, r.links) for r in neardup.classes(frame(spark, docs), "key", "body", size=2, t=0.7).collect()}
+    assert got == {"a": ("a", 1), "b": ("a", 1), "c": ("a", 1)}

@@ -2,8 +2,10 @@
 
 Likeness of two records is the Jaccard similarity of their sets of word runs. A set is a 0/1 vector
 over all runs, so the likeness of sets with a and b runs is at least t exactly if their Hamming
-distance is at most the budget alpha * (a + b), alpha = (1 - t) / (1 + t). Everything below prunes
-by that budget and loses no pair.
+distance is at most the budget alpha * (a + b), alpha = (1 - t) / (1 + t). The runs are dealt to
+segments laid in a ring, each with its share of the budget; records meet in the index of a segment and
+must keep within the budgets along a chain of segments from there on (pigeonring) before their sets
+are compared. Every test is a necessary one, so no pair is lost.
 """
 
 from __future__ import annotations
@@ -19,24 +21,22 @@ from pyspark.sql import functions as F
 
 from workloom.llm import components
 from workloom.llm.words import hashes, mix, shingles, words
-from workloom.runtime import materialise
+from workloom.runtime import materialise, small
 
 #: Counters of the frequency sketch (two rows of it): its size doesn't grow with the data.
 SKETCH = 1 << 20
-#: Segments of the folded Hamming vector, 32 counters' parities each, and the chain length tested.
+#: Segments of the ring that runs are dealt to by hash, and segments of a chain.
 SEGMENTS, CHAIN = 8, 4
-#: Records of one run that a join task meets at most on the replicated side.
+#: Bits to which the Hamming vector of one segment is folded; CHAIN of them fill a bigint.
+BITS = 16
+#: Greatest size of a chain that is kept; a longer one counts as that long, which prunes less.
+MOST = (1 << 16) - 1
+#: Records of one run that a join task meets at most on the dealt side.
 POSTINGS = 2_000
 #: Records of one content that are paired at a time; a larger content is dealt over several blocks.
 BLOCK = 500
-
-
-def _content(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    for batch in batches:
-        ids, sets = batch.column(0).to_pylist(), []
-        for text in batch.column(1).to_pylist():
-            sets.append(np.unique(shingles(hashes(words(text or "")), size)))
-        yield ids, sets
+#: Copies of the representatives of contents with several records, over which these are dealt.
+SALTS = 8
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -50,8 +50,9 @@ def run_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     A null or short text has none. Whole texts are read, once."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _content(batches, size):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.string()), _lists(sets)], ["id", "runs"])
+        for batch in batches:
+            sets = [np.unique(shingles(hashes(words(t or "")), size)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["id", "runs"])
 
     return docs.select(F.col(key).cast("string"), F.col(text).cast("string")).mapInArrow(build, "id string, runs array<bigint>")
 
@@ -85,127 +86,148 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def _fold(runs: np.ndarray) -> np.ndarray:
-    """The Hamming vector folded to SEGMENTS * 32 parities: two folded vectors differ in at most as
-    many places as the sets do."""
-    slot = (mix(runs.view(np.uint64) ^ np.uint64(0x5BF03635)) % np.uint64(32 * SEGMENTS)).astype(np.int64)
-    parity = np.bincount(slot, minlength=32 * SEGMENTS) & 1
-    return np.packbits(parity.astype(np.uint8).reshape(SEGMENTS, 32), axis=1).view(">u4").reshape(-1).astype(np.int64)
-
-
-def prefixes(sets: DataFrame, sketch: np.ndarray, t: float) -> DataFrame:
-    """The runs by which a record can be found: (run, id, n, rank, salts, s0..).
-
-    Runs are ordered by sketched frequency, rarest first. If a pair's first common run has ranks i
-    and j in its records, the i + j runs before it are in one record only, so i + j is within the
-    budget; and at least t of the record's runs are common, so no later rank can be the first.
+def _ring(flat: np.ndarray, own: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment of each run; per record and segment, packed by BITS: the folded Hamming vectors of the chain
+    that starts there, and its sizes after 1, 2.. segments). Two folded vectors differ in at most as many
+    places as the sets do."""
+    h = mix(flat.view(np.uint64) ^ np.uint64(0x5BF03635))
+    seg, bit = (h % np.uint64(SEGMENTS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(BITS)).astype(np.int64)
+    at = own * SEGMENTS + seg
+    sizes = np.bincount(at, minlength=docs * SEGMENTS).reshape(docs, SEGMENTS)
+    parity = np.bincount(at * BITS + bit, minlength=docs * SEGMENTS * BITS).reshape(docs, SEGMENTS, BITS) & 1
+    words_ = (parity << np.arange(BITS)).sum(2).astype(np.uint64)
+    folds, packed, so_far = np.zeros((docs, SEGMENTS), np.uint64), np.zeros((docs, SEGMENTS), np.uint64), np.zeros((docs, SEGMENTS), np.int64)
+    for k in range(CHAIN):
+        shift = np.uint64(BITS * k)
+        folds |= np.roll(words_, -k, axis=1) << shift
+        so_far = so_far + np.roll(sizes, -k, axis=1)
+        packed |= np.minimum(so_far, MOST).astype(np.uint64) << shift
+    return seg, folds.view(np.int64), packed.view(np.int64)
+
+
+def segment_index(sets: DataFrame, sketch: np.ndarray, t: float) -> DataFrame:
+    """The index by which alike records meet: (key, no, pos, fold, sizes), a few rows for each segment.
+
+    If one segment of two records differs within its budget, at least t of its runs are common. So, in
+    the order of the sketched frequency, rarest first, the first common run is among the first
+    n - ceil(t n) + 1 of the segment's n runs in both: these are its keys. A run that only one record
+    has is left out. `pos` is rank * 4 + role: a run that many records have is dealt over several
+    keys, on one side (role 1) each record to one of them, on the other (role 0) to all of them, so no
+    task meets more than POSTINGS records of a run on the dealt side; other runs have both roles (2).
     """
     shared = sets.sparkSession.sparkContext.broadcast(sketch)  # 8 MB, whatever the data
+    most = 1 << 14  # records at a time, so that the sort key below fits 64 bits
+
+    def rows(no: np.ndarray, flat: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        a, b = _slots(flat)
+        often = np.minimum(shared.value[a], shared.value[b]).astype(np.int64)
+        seg, folds, sizes = _ring(flat, own, len(no))
+        low = flat.view(np.uint64) & np.uint64(0xFFFFFF)
+        rarity = (np.minimum(often, (1 << 22) - 1).astype(np.uint64) << np.uint64(24)) | low
+        place = (own * SEGMENTS + seg).astype(np.uint64)
+        # stable, and the runs of a record ascend: the order of the runs is the same in every record
+        order = np.argsort((place << np.uint64(46)) | rarity, kind="stable")
+        place = place[order].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1]))) if len(place) else np.empty(0, np.int64)
+        n = np.diff(np.concatenate((starts, [len(place)])))
+        rank, n = np.arange(len(place)) - np.repeat(starts, n), np.repeat(n, n)
+        keep = (rank < n - np.ceil(t * n - 1e-9) + 1) & (often[order] > 1)
+        order, rank, place = order[keep], rank[keep], place[keep]
+        run, salts, who = flat[order].view(np.uint64), np.maximum(1, -(-often[order] // POSTINGS)), place // SEGMENTS
+        number, fold, packed = no[who], folds.reshape(-1)[place], sizes.reshape(-1)[place]
+        hot = np.flatnonzero(salts > 1)
+        dealt = (mix(number.view(np.uint64)) % salts.astype(np.uint64)).astype(np.int64)
+        copy = np.repeat(hot, salts[hot])
+        salt = np.arange(len(copy)) - np.repeat(np.cumsum(salts[hot]) - salts[hot], salts[hot])
+        take, salt = np.concatenate((np.arange(len(run)), copy)), np.concatenate((np.where(salts > 1, dealt, 0), salt))
+        role = np.concatenate((np.where(salts > 1, 1, 2), np.zeros(len(copy), np.int64)))
+        keys = np.where(salt > 0, mix(run[take] ^ mix(salt.astype(np.uint64))), run[take]).view(np.int64)
+        columns = [keys, number[take], rank[take] * 4 + role, fold[take], packed[take]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "no", "pos", "fold", "sizes"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
-        for batch in batches:
-            ids, lists = batch.column(0), batch.column(1)
-            flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            a, b = _slots(flat)
-            often = np.minimum(counts[a], counts[b])
-            take, rank, size, run, salts, folds = [], [], [], [], [], []
-            for i in range(len(ids)):
-                x, f = flat[offsets[i] : offsets[i + 1]], often[offsets[i] : offsets[i + 1]]
-                n = len(x)
-                keep = n - math.ceil(t * n - 1e-9) + 1
-                order = np.lexsort((x, f))[:keep]
-                take.append(np.full(len(order), i))
-                rank.append(np.arange(len(order)))
-                size.append(np.full(len(order), n))
-                run.append(x[order])
-                salts.append(-(-f[order] // POSTINGS))
-                folds.append(np.repeat(_fold(x)[None, :], len(order), axis=0))
-            if not take:
-                continue
-            where, all_folds = np.concatenate(take), np.concatenate(folds)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(run)), ids.take(pa.array(where)), pa.array(np.concatenate(size).astype(np.int32)),
-                    pa.array(np.concatenate(rank).astype(np.int32)), pa.array(np.maximum(1, np.concatenate(salts)).astype(np.int32)),
-                    *[pa.array(all_folds[:, k]) for k in range(SEGMENTS)],
-                ],
-                ["run", "id", "n", "rank", "salts", *[f"s{k}" for k in range(SEGMENTS)]],
-            )
-
-    cols = ", ".join(f"s{k} bigint" for k in range(SEGMENTS))
-    return sets.where("size(runs) > 0").select("id", "runs").mapInArrow(build, f"run bigint, id string, n int, rank int, salts int, {cols}")
-
-
-def ring(a: str, b: str, budget: Column) -> Column:
-    """Pigeonring: if the differences of the SEGMENTS segments, laid in a ring, sum to at most the
-    budget, then from some segment on every chain of l consecutive segments differs in at most
-    l / SEGMENTS of it. Pairs without a chain of CHAIN segments are pruned; then the sum is tested."""
-    d = [F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SEGMENTS)]
-
-    def chain(start: int) -> Column:
-        sums, so_far = [], None
-        for length in range(1, CHAIN + 1):
-            x = d[(start + length - 1) % SEGMENTS]
-            so_far = x if so_far is None else so_far + x
-            sums.append(so_far * SEGMENTS <= budget * length)
-        return reduce(Column.__and__, sums)
-
-    return reduce(Column.__or__, [chain(k) for k in range(SEGMENTS)]) & (reduce(Column.__add__, d) <= budget)
-
-
-def candidates(prefix: DataFrame, t: float) -> DataFrame:
-    """(a, b), a < b: pairs of records that share a run early enough and pass the pigeonring filter.
-
-    A run that many records have is salted: its records are dealt over `salts` tasks on one side and
-    copied to all of them on the other, so no task meets more than POSTINGS records of one run at a
-    time and no pairs are held; pairs are tested as they are met.
+        for whole in batches:
+            for at in range(0, len(whole), most):
+                batch = whole.slice(at, most)
+                lists = batch.column(1)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                yield rows(batch.column(0).to_numpy(), lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(batch)), sizes))
+
+    return sets.select("no", "runs").mapInArrow(build, "key bigint, no bigint, pos bigint, fold bigint, sizes bigint")
+
+
+def ring(a: str, b: str, t: float, chain: int = CHAIN) -> Column:
+    """Pigeonring. A segment's budget is alpha times its runs in both records; the differences of all
+    segments, laid in a ring, sum to at most the sum of the budgets if the records are alike. Then
+    some segment with runs starts a chain whose cumulative difference stays within the cumulative
+    budget after each of its segments. The chain that starts at the segment where the two rows met is
+    tested, by the folded vectors and the sizes, both of which differ at most as much as the sets do.
     """
     alpha = (1 - t) / (1 + t)
-    one = prefix.where(F.col("rank") <= F.floor(F.col("n") * alpha + 1e-9)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    other = prefix.withColumn("salt", F.pmod(F.hash("id"), F.col("salts")))
-    x, y = one.alias("x"), other.alias("y")
-    budget = F.floor((F.col("x.n") + F.col("y.n")) * alpha + 1e-9)
-    early = (F.col("x.rank") + F.col("y.rank")) <= budget
-    sizes = (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - 1e-9) & (F.col("x.id") != F.col("y.id"))
-    # both in the short prefixes: met twice, once from either side
-    once = (F.col("y.rank") > F.floor(F.col("y.n") * alpha + 1e-9)) | (F.col("x.id") < F.col("y.id"))
-    on = (F.col("x.run") == F.col("y.run")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.salts") == F.col("y.salts"))
-    met = x.join(y.hint("merge"), on & sizes & early & once & ring("x", "y", budget))
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    apart = F.col(f"{a}.fold").bitwiseXOR(F.col(f"{b}.fold"))
+
+    def size(side: str, k: int) -> Column:
+        return F.shiftrightunsigned(F.col(f"{side}.sizes"), BITS * k).bitwiseAND(MOST)
+
+    def within(k: int) -> Column:
+        mask = (1 << (BITS * (k + 1))) - 1
+        differ = F.bit_count(apart.bitwiseAND(F.lit(mask if mask < 1 << 63 else -1).cast("bigint")))
+        x, y = size(a, k), size(b, k)
+        return F.greatest(differ, F.abs(x - y)) <= (x + y) * alpha + 1e-9
+
+    return reduce(Column.__and__, [within(k) for k in range(chain)])
+
+
+def candidates(index: DataFrame, t: float, chain: int = CHAIN) -> DataFrame:
+    """(a, b), a < b: pairs of records that meet in a segment's index and whose chain from there on stays
+    within its budgets. One shuffle serves both sides of the join: its conditions name both, so
+    neither side is filtered before it, and pairs are tested as they are met."""
+    alpha = (1 - t) / (1 + t)
+    x, y = index.alias("x"), index.alias("y")
+    rank = lambda side: F.shiftright(F.col(f"{side}.pos"), 2)
+    role = lambda side: F.col(f"{side}.pos").bitwiseAND(3)
+    runs = lambda side: F.col(f"{side}.sizes").bitwiseAND(MOST)
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.no") < F.col("y.no")) & (role("x") * 4 + role("y")).isin(1, 10)
+    # the runs before the first common one are in one of the two only
+    early = (rank("x") + rank("y") <= (runs("x") + runs("y")) * alpha + 1e-9) | (F.greatest(runs("x"), runs("y")) == MOST)
+    return x.join(y.hint("merge"), met & early & ring("x", "y", t, chain)).select(F.col("x.no").alias("a"), F.col("y.no").alias("b")).distinct()
+
+
+def contents(docs: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, members): sets(no, id, runs) with a number for each row, and members(id, no, rep, first): `rep` is
+    the number and `first` the id of the first record with the same set of runs. Only contents of
+    several rows are joined back, over SALTS copies, so the rows of a frequent one are spread."""
+    made = run_sets(docs.where(F.col(key).isNotNull()), key, text, size).where("size(runs) > 0")
+    sets = materialise(made.withColumn("no", F.monotonically_increasing_id()), "runs")
+    same = ["x", "y", "n"]
+    light = sets.select("id", "no", F.xxhash64("runs").alias("x"), F.xxhash64(F.lit(1), F.col("runs")).alias("y"), F.size("runs").alias("n"))
+    firsts = light.groupBy(*same).agg(F.min(F.struct("id", "no")).alias("f"), F.count("*").alias("k")).where("k > 1").select(*same, F.col("f.id").alias("f_id"), F.col("f.no").alias("f_no"))
+    firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    dealt = light.withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS).cast("bigint"))).join(firsts, [*same, "salt"], "left")
+    return sets, materialise(dealt.select("id", "no", F.coalesce("f_no", "no").alias("rep"), F.coalesce("f_id", "id").alias("first")), "members")
 
 
 def similar_pairs(docs: DataFrame, key: str, text: str, *, size: int = 5, t: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(pairs, members): pairs(a, b, likeness) of representatives at least t alike, a < b, and
-    members(id, rep): every record with at least one run and the representative of its content,
-    the least id among the records with the same set of runs.
+    members(id, rep, first): every record with at least one run, the number of its content and the
+    least id among the records with the same set of runs.
 
     Defined cases: null and short texts have no runs and are alike to nothing; null ids are left
     out; a record repeated with the same text counts once, and an id with several texts is each of
     them; an empty table gives two empty results.
     """
-    sets = materialise(run_sets(docs.where(F.col(key).isNotNull()), key, text, size).where("size(runs) > 0"), "runs")
-    same = F.struct(F.xxhash64("runs").alias("x"), F.xxhash64(F.lit(1), F.col("runs")).alias("y"), F.size("runs").alias("n"))
-    content = sets.select("id", same.alias("c")).distinct()
-    reps = content.groupBy("c").agg(F.min("id").alias("rep"))
-    members = materialise(content.join(reps, "c").select("id", "rep", "c"), "members")
-    firsts = sets.withColumn("c", same).join(members.where("id = rep").select("id", "c").distinct(), ["id", "c"], "left_semi")
-    # an id that is first of several contents stays apart by content
-    unique = materialise(firsts.select(F.concat_ws("\u001f", "id", F.col("c.x").cast("string")).alias("id"), "runs").dropDuplicates(["id"]), "sets")
-    sketch = frequency_sketch(unique)
-    found = materialise(candidates(materialise(prefixes(unique, sketch, t), "prefix"), t), "candidates")
-    left, right = unique.select(F.col("id").alias("a"), F.col("runs").alias("ra")), unique.select(F.col("id").alias("b"), F.col("runs").alias("rb"))
-    both = found.join(left, "a").join(right, "b")
+    sets, members = contents(docs, key, text, size)
+    unique = sets.join(small(members.where("no <> rep").select("no")), "no", "left_anti")
+    found = materialise(candidates(segment_index(unique, frequency_sketch(unique), t), t), "candidates")
+    ends = small(found.select(F.col("a").alias("no")).unionAll(found.select(F.col("b").alias("no"))).distinct())
+    needed = sets.join(ends, "no", "left_semi").select("no", "runs")
+    left, right = needed.select(F.col("no").alias("a"), F.col("runs").alias("ra")), needed.select(F.col("no").alias("b"), F.col("runs").alias("rb"))
+    both = found.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     common = F.size(F.array_intersect("ra", "rb"))
-    hamming = F.size("ra") + F.size("rb") - 2 * common
-    alike = both.withColumns({"_common": common, "_h": hamming}).where(F.col("_h") * (1 + t) <= (F.size("ra") + F.size("rb")) * (1 - t) + 1e-9)
+    both = both.select("a", "b", common.alias("_common"), (F.size("ra") + F.size("rb")).alias("_all")).withColumn("_h", F.col("_all") - 2 * F.col("_common"))
+    alike = both.where(F.col("_h") * (1 + t) <= F.col("_all") * (1 - t) + 1e-9)
     pairs = alike.select("a", "b", (F.col("_common") / (F.col("_common") + F.col("_h"))).alias("likeness"))
-    named = members.select("id", F.concat_ws("\u001f", "rep", F.col("c.x").cast("string")).alias("rep"))
-    return pairs, named
-
-
-def _id(rep: str) -> Column:
-    return F.substring_index(F.col(rep), "\u001f", 1)
+    return pairs, members.select("id", "rep", "first").distinct()
 
 
 def expand(pairs: DataFrame, members: DataFrame, listed: int | None = None) -> DataFrame:
@@ -216,14 +238,15 @@ def expand(pairs: DataFrame, members: DataFrame, listed: int | None = None) -> D
     `listed` gets links instead of pairs: a content with more records than that is represented by its
     first one, with which each of its copies and the records alike to it are paired.
     """
-    counts = members.groupBy("rep").agg(F.count("*").alias("k"), F.min("id").alias("first"))
-    m = materialise(members.join(counts, "rep"), "copies")
-    star = None
+    m, star = members.select("id", "rep", "first"), None
     if listed is not None:
-        star = m.where(F.col("k") > listed).select(F.col("first").alias("i"), F.col("id").alias("j"))
-        m = m.where((F.col("k") <= listed) | (F.col("id") == F.col("first"))).withColumn("k", F.when(F.col("k") <= listed, F.col("k")).otherwise(1))
-    m = m.withColumn("blocks", F.ceil(F.col("k") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    sizes = m.select("rep", "k", "blocks").distinct()
+        many = small(m.groupBy("rep").agg(F.count("*").alias("k")).where(F.col("k") > listed).select("rep", F.lit(True).alias("many")))
+        told = m.join(many, "rep", "left")
+        star = told.where("many").select(F.col("first").alias("i"), F.col("id").alias("j"))
+        m = told.where("many is null or id = first").select("id", "rep", "first")
+    sizes = materialise(m.groupBy("rep").agg(F.count("*").alias("k")).withColumn("blocks", F.ceil(F.col("k") / BLOCK)), "sizes")
+    large = small(sizes.where("blocks > 1").select("rep", "blocks"))
+    m = m.join(large, "rep", "left").withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1).cast("bigint"))))
     of = lambda side: sizes.select(F.col("rep").alias(side), F.col("blocks").alias(f"{side}_blocks"))
     blocks = lambda side: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{side}_blocks") - 1)).alias(f"{side}_block")
     between = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "b_blocks", blocks("a")).select("a", "a_block", "b", blocks("b"))
@@ -242,10 +265,14 @@ def expand(pairs: DataFrame, members: DataFrame, listed: int | None = None) -> D
 
 def classes(docs: DataFrame, key: str, text: str, *, size: int = 5, t: float = 0.8) -> DataFrame:
     """One row for each record with a text that has runs: id, class_id (the least id of all records
-    linked to it directly or through others) and links (representatives its content is alike to)."""
+    linked to it directly or through others) and links (contents its own is alike to). No pair of
+    copies is listed: the size is that of the input and of the links between different contents."""
     pairs, members = similar_pairs(docs, key, text, size=size, t=t)
     pairs = materialise(pairs, "pairs")
-    linked = components.connected(pairs, "a", "b").withColumnRenamed("id", "rep")
+    first = members.where("id = first").select("rep", "first").distinct()
+    linked = pairs.select("a", "b").join(first.select(F.col("rep").alias("a"), F.col("first").alias("fa")), "a").join(first.select(F.col("rep").alias("b"), F.col("first").alias("fb")), "b")
+    same = members.where("id <> first").select(F.col("id").alias("fa"), F.col("first").alias("fb"))  # copies, and ids of several contents
+    group = components.connected(linked.select("fa", "fb").unionByName(same), "fa", "fb")
     ends = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    one = members.join(linked, "rep", "left").join(ends, "rep", "left")
-    return one.groupBy("id").agg(F.min(F.coalesce(_id("group_id"), _id("rep"))).alias("class_id"), F.max(F.coalesce("links", F.lit(0))).alias("links"))
+    one = members.join(ends, "rep", "left").groupBy("id").agg(F.max(F.coalesce("links", F.lit(0))).alias("links"))
+    return one.join(group, "id", "left").select("id", F.coalesce("group_id", "id").alias("class_id"), "links")

@@ -155,7 +155,21 @@ _FORMS = f"""t as (select distinct 'title' as field, vacancy_id as id, title as
   union select 'message_text', 'tg:' || channel || ':' || message_id, text from tg_messages),
 f as (select field, id, text, {lookalikes.form_sql('text')} as form from t)"""
 
+_ALIKE = """w as (
+  select distinct vacancy_id as id, regexp_extract_all(lower(concat_ws(' ', title, employer_name, text)), '[\\p{L}\\p{N}_]+') as w
+  from vacancies where text is not null),
+s as (select distinct id, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] as g
+      from (select id, w, unnest(range(1, len(w) - 2)) as i from w)),
+n as (select id, count(*) as n, list_sort(list(g)) as content from s group by id),
+c as (select a.id as id_a, b.id as id_b, count(*) as c from s a join s b on a.g = b.g and a.id < b.id group by all),
+pairs as (select id_a, id_b from c join n x on x.id = id_a join n y on y.id = id_b where 10 * c >= 7 * (x.n + y.n - c))"""
+
 SQL = {
+    "p6_classes": f"""with recursive {_ALIKE},
+e as (select id_a as a, id_b as b from pairs union all select id_b, id_a from pairs),
+r as (select id as v, id as g from n union select r.v, e.b from r join e on r.g = e.a),
+l as (select e.a as id, count(distinct y.content) as links from e join n x on x.id = e.a join n y on y.id = e.b where x.content <> y.content group by 1)
+select v as id, min(g) as class_id, coalesce(any_value(links), 0) as links from r left join l on l.id = r.v group by v""",
     "p4_found": f"""with {_FORMS} select distinct a.field, a.id as id_a, b.id as id_b from f a join f b on a.field = b.field and a.form = b.form and a.text <> b.text and a.id < b.id""",
     "p4_forms": f"with {_FORMS} select distinct field, id, form from f",
     "p4_classes": f"""with {_FORMS} select distinct field, id, class_id, texts from f
