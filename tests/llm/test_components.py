@@ -49,3 +49,19 @@ def test_empty_and_nothing_linked(spark):
 
 def test_forest_roots():
     assert components.forest_roots(6, np.array([5, 3, 4]), np.array([3, 1, 4])).tolist() == [0, 1, 2, 1, 4, 1]
+
+
+@pytest.mark.parametrize("links", [50, 200])
+def test_a_sorted_chain_takes_few_rounds_and_a_logarithm_of_jumps(spark, links):
+    pairs = [(f"c{i:04d}", f"c{i + 1:04d}") for i in range(links)]
+    done = {}
+    df = spark.createDataFrame(pairs, "id_a string, id_b string")
+    got = {r.id: r.group_id for r in components.connected(df, "id_a", "id_b", cell_edges=20, done=done).collect()}
+    assert got == {f"c{i:04d}": "c0000" for i in range(links + 1)}
+    assert done["rounds"] <= 4 and done["jumps"] <= 3 * links.bit_length()
+
+
+def test_many_groups_over_many_cells(spark):
+    rnd = random.Random(3)
+    pairs = [(f"v{rnd.randrange(400):03d}", f"v{rnd.randrange(400):03d}") for _ in range(330)] + [("v000", f"s{i:03d}") for i in range(150)]
+    assert run(spark, pairs, cell_edges=6) == brute(pairs)

@@ -47,21 +47,45 @@ def _cell(t: pa.Table) -> pa.Table:
     return pa.table({"v": names, "r": names.take(pa.array(root))})
 
 
-def connected(pairs: DataFrame, a: str, b: str, *, cell_edges: int = CELL_EDGES) -> DataFrame:
+def _follow(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
+    """df with the values of a column replaced by their parents, and `moved`: whether there was one. The
+    parents are copied SALTS times and df's rows dealt over the copies, so a vertex that most rows
+    name is spread."""
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    up = parents.select(F.col("v").alias(column), F.col("p").alias("_up"), copies.alias("_salt"))
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS).cast("bigint")))
+    got = dealt.join(up, [column, "_salt"], "left")
+    return got.select(*[F.coalesce("_up", column).alias(c) if c == column else F.col(c) for c in df.columns], F.col("_up").isNotNull().alias("moved"))
+
+
+def _to_roots(parents: DataFrame, done: dict[str, int]) -> DataFrame:
+    """Parents followed up to the roots, by doubling: as many joins as the logarithm of the greatest depth."""
+    while True:
+        got = materialise(_follow(parents, "p", parents), "parents")
+        done["jumps"] += 1
+        parents = got.drop("moved")
+        if not got.where("moved").limit(1).count():
+            return parents
+
+
+def connected(pairs: DataFrame, a: str, b: str, *, cell_edges: int = CELL_EDGES, done: dict[str, int] | None = None) -> DataFrame:
     """(id, group_id) for every id that occurs in a pair of two different, non-null ids; group_id is
     the smallest id (by code point) of all ids linked to it directly or through others.
 
     Vertices are hashed into B blocks, so the edges fall into B(B+1)/2 cells; a vertex with very
     many edges is spread over the B cells of its row and column. Each cell runs union-find over its
     own edges. The representatives that a vertex has in its row and column are then exchanged: the
-    least becomes its parent and the others are linked to it by the edges of the next round, which
-    holds representatives only. When no such edge is left, the parents are stable and are followed
-    back. No component, and no list of vertices, is ever held in one place.
+    least becomes its parent, the others are linked to it by edges. Parents are followed up to the
+    roots by doubling, and the edges that still join different roots make the next round, so a chain
+    of n links takes about log n joins, not n rounds. When no such edge is left, the parents are
+    stable. No component, and no list of vertices, is ever held in one place.
 
     Defined cases: null ids and pairs of an id with itself link nothing and give no row by
     themselves; repeated and reversed pairs count once; an empty table gives an empty result; other
-    columns of `pairs` are not looked at.
+    columns of `pairs` are not looked at. `done`, if given, receives the number of rounds and jumps.
     """
+    done = {} if done is None else done
+    done.update(rounds=0, jumps=0)
     lo, hi = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
     edges = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     edges = materialise(edges.select(lo.cast("string").alias("a"), hi.cast("string").alias("b")).distinct(), "edges")
@@ -74,14 +98,18 @@ def connected(pairs: DataFrame, a: str, b: str, *, cell_edges: int = CELL_EDGES)
         cell = F.least(x, y) * blocks + F.greatest(x, y)
         local = edges.select("a", "b", cell.alias("cell")).groupBy("cell").applyInArrow(_cell, "v string, r string")
         step = local.groupBy("v").agg(F.min("r").alias("p"), F.collect_set("r").alias("rs"))  # at most one r for each block
-        step = materialise(step, "parents")
-        rounds.append(step)
-        edges = step.select(F.explode("rs").alias("r"), "p").where("r <> p").select(F.col("p").alias("a"), F.col("r").alias("b")).distinct()
-        edges = materialise(edges, "edges")
+        step = materialise(step, "representatives")
+        done["rounds"] += 1
+        if blocks == 1:  # one cell held all edges: its roots are the groups
+            rounds.append(step.select("v", "p"))
+            break
+        parents = _to_roots(step.where("v <> p").select("v", "p"), done)
+        rounds.append(step.where("v = p").select("v", "p").unionByName(parents))
+        across = step.select("p", F.explode("rs").alias("r")).where("r <> p")
+        across = _follow(_follow(across, "p", parents).drop("moved"), "r", parents).where("p <> r")
+        edges = materialise(across.select(F.least("p", "r").alias("a"), F.greatest("p", "r").alias("b")).distinct(), "edges")
         left = edges.count()
-    label = rounds[-1].select("v", F.col("p").alias("g"))
-    for step in reversed(rounds[:-1]):
-        spread = label.select(F.col("v").alias("p"), "g", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("s"))
-        mine = step.select("v", "p", F.pmod(F.hash("v"), F.lit(SALTS)).alias("s"))
-        label = mine.join(spread, ["p", "s"], "left").select("v", F.coalesce("g", "p").alias("g"))
-    return label.select(F.col("v").alias("id"), F.col("g").alias("group_id"))
+    label = rounds[0]
+    for step in rounds[1:]:
+        label = _follow(label, "p", step.where("v <> p")).drop("moved")
+    return label.select(F.col("v").alias("id"), F.col("p").alias("group_id"))
