@@ -56,3 +56,14 @@ def test_rank_definition(values, p):
     x = sorted(values)
     r = max(1, math.ceil(round(p * len(x), 6)))
     assert sum(v <= x[r - 1] for v in x) >= r and sum(v < x[r - 1] for v in x) < r
+
+
+def test_counts_of_single_sources_are_taken_together(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", None]), rnd.randrange(20), i, rnd.choice("xyz")) for i in range(600)]
+    df = spark.createDataFrame(rows + rows[:50], "g string, x bigint, row bigint, source string")
+    freq = quantiles.row_frequencies(df, ["g"], "x", "row", by=["source"])
+    one = freq.where("_b0 = 'x'").agg({"n": "sum"}).first()[0]
+    assert one == sum(r[3] == "x" for r in rows)
+    got = {r.g: [r[c] for c in P] + [r.n] for r in quantiles.percentiles(freq, ["g"], P).collect()}
+    assert got == {g: brute([r[1] for r in rows if r[0] == g]) + [sum(r[0] == g for r in rows)] for g in ("a", None)}

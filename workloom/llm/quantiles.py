@@ -44,15 +44,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from counts.select([*t.column_names, "count_all"]).rename_columns([*t.column_names, "n"]).to_batches()
 
 
-def row_frequencies(df: DataFrame, groups: Sequence[str], value: str, row: str, *, relative_error: float = 0.0) -> DataFrame:
+def row_frequencies(df: DataFrame, groups: Sequence[str], value: str, row: str, *, by: Sequence[str] = (), relative_error: float = 0.0) -> DataFrame:
     """The summary of rows that may be delivered repeatedly: rows with the same group, value and `row`
-    count once. Rows are spread over value ranges by (groups, value, row), so repeats meet there and a
+    count once. `by` keeps the counts of single sources, days and so on apart, each row a summary of
+    its own; `percentiles` takes them together as they are. Rows are spread over value ranges by (groups, value, row), so repeats meet there and a
     frequent value is cut up; each range is reduced to counts where it is. The result is in range
     order already, for `percentiles`; a value cut up by a range edge has a row on either side."""
     v = bucketed(F.col(value), relative_error)
-    rows = df.where(F.col(value).isNotNull()).select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)], v.alias("v"), F.col(row).alias("_row"))
+    rows = df.where(F.col(value).isNotNull()).select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)], *[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], v.alias("v"), F.col(row).alias("_row"))
     keys = [*[f"_g{i}" for i in range(len(groups))], "v"]
-    once = rows.repartitionByRange(*keys, "_row").dropDuplicates([*keys, "_row"]).select(*keys)
+    parts = [f"_b{i}" for i in range(len(by))]
+    once = rows.repartitionByRange(*keys, "_row").dropDuplicates([*keys, "_row", *parts]).select(*keys, *parts)
     schema = T.StructType([*once.schema.fields, T.StructField("n", T.LongType())])
     return materialise(once.mapInArrow(_counted, schema).withColumn("_part", F.spark_partition_id()), "counts")
 

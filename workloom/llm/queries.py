@@ -59,11 +59,6 @@ def p4_classes(spark: SparkSession, d: str) -> DataFrame:
 GROUP = ["role_canonical", "seniority", "city"]
 
 
-def _pay(spark: SparkSession, d: str, *more: str) -> DataFrame:
-    rows = table(spark, d, "weekly_role_salary").where("salary_rub_median is not null")
-    return rows.select("row_id", *GROUP, *more, "salary_rub_median").distinct()
-
-
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Groups of at least 15 rows whose 90th percentile is at least twice the median."""
     rows = table(spark, d, "weekly_role_salary").where(" and ".join(f"{c} is not null" for c in GROUP))
@@ -74,9 +69,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Exact percentiles of every group (also those with null keys), combined from single collectors."""
-    daily = quantiles.frequencies(_pay(spark, d, "collector"), [*GROUP, "collector"], "salary_rub_median")
-    whole = quantiles.combine([daily.drop("collector")], GROUP)
-    return quantiles.percentiles(whole, GROUP, {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9})
+    counts = quantiles.row_frequencies(table(spark, d, "weekly_role_salary"), GROUP, "salary_rub_median", "row_id", by=["collector"])
+    return quantiles.percentiles(counts, GROUP, {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9})
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
