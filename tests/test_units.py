@@ -62,3 +62,31 @@ def test_against_fractions_on_the_tables(spark, data):
     rows = duckdb.sql(f"select distinct parse_id, min, max from '{data}/salary_parses.parquet' where min is not null or max is not null").fetchall()
     assert {r[0] for r in rows} == set(got)
     assert all((lo is None) == (got[i][0] == -1) and (hi is None) == (got[i][1] == -1) for i, lo, hi in rows)
+
+
+def test_the_ensemble_alone_decides_most_missing_units_and_rarely_errs(spark):
+    import os
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    parses, rates, periods = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("salary_parses", "cbr_rates", "pay_periods"))
+    rows, days = units.with_units(parses, rates)
+    alone = {r.parse_id: r for r in units.settled(rows, days, periods, conventions=False).collect()}
+    whole = {r.parse_id: r for r in units.settled(rows, days, periods, conventions=True).collect()}
+    used = [i for i, r in alone.items() if r.review is None]
+    assert len(used) >= 0.9 * len(whole) and sum((alone[i].rub_min, alone[i].rub_max) == (whole[i].rub_min, whole[i].rub_max) for i in used) >= 0.995 * len(used)
+    missing = [r for r in whole.values() if r.period_from != "stated" or r.scale_from != "stated"]
+    assert sum("review" not in (r.period_from, r.scale_from) for r in missing) >= 0.75 * len(missing)
+
+
+def test_a_missing_currency_is_predicted_or_goes_to_review(spark, tables):
+    rows = [("%d в месяц" % n, "RUR", n, None) for n in range(90_000, 90_200)] + [("%d в месяц" % n, "USD", n, None) for n in range(2_000, 2_200)] + [("90050 в месяц", None, 90_050, None), ("2050 в месяц", None, 2_050, None)]
+    got = convert(spark, tables, rows)
+    assert got[-2] in [(90_050, None, None), (None, None, "currency")] and got[-1][2] in (None, "currency")
+
+
+def test_with_too_few_labels_rows_go_to_review_and_the_rules_settle_them(spark, tables):
+    rows = [("100 000 руб.", None, 100_000, None), (None, "RUR", 70_000, None)]
+    assert convert(spark, tables, rows) == [(100_000, None, None), (70_000, None, None)]
+    assert {g[2] for g in convert(spark, tables, rows, conventions=False)} == {"period"}

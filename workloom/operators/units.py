@@ -2,9 +2,11 @@
 
 Every bound has three units: its currency, the period it is paid for and the scale of the number
 (1, a thousand, a million). A unit that the row states is taken as stated. A missing one is
-predicted by a tree ensemble from magnitude, source, category and the neighbouring fields, with
-probabilities calibrated on held-out rows; confident predictions are converted, the others go to
-review. `conventions` (rules that the data's owner vouches for) are an exact check on top.
+predicted by a tree ensemble from magnitude (in roubles where the currency is known), source,
+category and the neighbouring fields, with probabilities calibrated on held-out rows; confident
+predictions are converted, the others go to review. Where the data's owner vouches for rules
+(`conventions`), these check the predictions: one that contradicts them goes to review too, and
+the rules settle what is under review.
 """
 
 from __future__ import annotations
@@ -89,11 +91,13 @@ def stated_units(df: DataFrame, text: str, currency: str, lo: str, hi: str) -> D
 class UnitModel:
     """A random forest for one unit with isotonic calibration of its top probability.
 
-    fit: labelled has the column `label` (string) and the numeric feature columns. With fewer than
-    two labels there is nothing to learn: the only label (or null) is predicted, with the
-    probability that Laplace's rule gives it.
+    fit: labelled has the columns `label` (string), `_held` (for calibration) and the numeric feature
+    columns. With fewer than two labels to learn from, the only label (or null) is predicted, with
+    the probability that Laplace's rule gives it; without held-out rows nothing is confident.
     """
 
+    TREES, DEPTH = 20, 7
+
     def __init__(self, features: list[str], seed: int = 7):
         self.features, self.seed, self.labels, self.model, self.curve = features, seed, [], None, None
 
@@ -102,69 +106,112 @@ class UnitModel:
         from pyspark.ml.feature import VectorAssembler
         from pyspark.ml.regression import IsotonicRegression
 
-        counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        counts: dict[str, int] = {}
+        held = 0
+        for r in labelled.groupBy("label", "_held").count().collect():  # a few rows a unit
+            if r["_held"]:
+                held += r["count"]
+            else:
+                counts[r["label"]] = r["count"]
         self.labels = sorted(counts, key=lambda x: (-counts[x], x))
+        self.sure = (sum(counts.values()) + 1) / (sum(counts.values()) + 2)
         self.vector = VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")
         if len(self.labels) < 2:
-            self.sure = (sum(counts.values()) + 1) / (sum(counts.values()) + 2)
             return self
         index = F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(self.labels) for x in (k, float(i))]), F.col("label"))
         data = self.vector.transform(labelled.withColumn("_y", index))
-        held = data.where("_held")
-        forest = RandomForestClassifier(featuresCol="_features", labelCol="_y", numTrees=24, maxDepth=7, seed=self.seed)
+        forest = RandomForestClassifier(featuresCol="_features", labelCol="_y", numTrees=self.TREES, maxDepth=self.DEPTH, maxBins=64, seed=self.seed)
         self.model = forest.fit(data.where("not _held"))
-        right = self._top(self.model.transform(held)).select(
-            F.col("_p"), (F.col("_label") == F.col("label")).cast("double").alias("_right")
-        )
-        self.curve = IsotonicRegression(featuresCol="_p", labelCol="_right").fit(right)
+        if held:
+            right = self._top(self.model.transform(data.where("_held"))).select("_p", F.coalesce(F.col("_label") == F.col("label"), F.lit(False)).cast("double").alias("_right"))
+            self.curve = IsotonicRegression(featuresCol="_p", labelCol="_right", predictionCol="_sure").fit(right)
         return self
 
     def _top(self, scored: DataFrame) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
 
         names = F.array(*[F.lit(x) for x in self.labels])
-        p = vector_to_array(F.col("probability"))
-        scored = scored.withColumn("_p", F.array_max(p))
+        scored = scored.withColumn("_p", F.array_max(vector_to_array(F.col("probability"))))
         return scored.withColumn("_label", F.element_at(names, F.col("prediction").cast("int") + 1))
 
     def predict(self, df: DataFrame, label: str, p: str) -> DataFrame:
         if self.model is None:
             only = self.labels[0] if self.labels else None
             return df.withColumns({label: F.lit(only).cast("string"), p: F.lit(self.sure if self.labels else 0.0)})
-        keep = df.columns
+        keep = [F.col(c) for c in df.columns]
         scored = self._top(self.model.transform(self.vector.transform(df)))
-        bounds, values = list(self.curve.boundaries), list(self.curve.predictions)
-        calibrated = F.lit(float(values[0]) if len(values) else 0.0)
-        for b, v in zip(bounds, values):
-            calibrated = F.when(F.col("_p") >= float(b), float(v)).otherwise(calibrated)
-        return scored.select(*keep, F.col("_label").alias(label), calibrated.alias(p))
-
-
-def _features(df: DataFrame, source: str, lo: str, hi: str) -> tuple[DataFrame, list[str]]:
-    log = lambda c: F.log10(F.greatest(F.col(c).cast("double"), F.lit(1.0)))
-    code = lambda c, values: sum((F.when(F.col(c) == v, float(i + 1)).otherwise(0.0) for i, v in enumerate(values)), F.lit(0.0))
-    cols = {
-        "f_lo": F.coalesce(log(lo), F.lit(-1.0)),
-        "f_hi": F.coalesce(log(hi), F.lit(-1.0)),
-        "f_any": F.coalesce(log(lo), log(hi), F.lit(-1.0)),
-        "f_width": F.coalesce(F.try_divide(F.col(hi).cast("double"), F.col(lo)), F.lit(0.0)),
-        "f_source": F.pmod(F.xxhash64(source), F.lit(16)).cast("double"),
-        "f_text": F.when(F.col("_has_text"), 1.0).otherwise(0.0),
-        "f_currency": code("s_currency", [w[0] for w in CURRENCY_WORDS]),
-        "f_period": code("s_period", [w[0] for w in PERIOD_WORDS]),
-        "f_scale": F.coalesce(F.log10(F.coalesce("s_lo", "s_hi").cast("double")), F.lit(-1.0)),
-    }
-    return df.withColumns(cols), list(cols)
-
-
-#: The features that may be used for a unit: never those that hold the unit itself.
-_FOR = {
-    "currency": ["f_lo", "f_hi", "f_any", "f_width", "f_source", "f_text", "f_period", "f_scale"],
-    "period": ["f_lo", "f_hi", "f_any", "f_width", "f_source", "f_text", "f_currency", "f_scale"],
-    "scale": ["f_lo", "f_hi", "f_any", "f_width", "f_source", "f_text", "f_currency", "f_period"],
+        scored = scored.withColumn("_sure", F.lit(0.0)) if self.curve is None else self.curve.transform(scored)
+        return scored.select(*keep, F.col("_label").alias(label), F.col("_sure").alias(p))
+
+
+def _log(c: Column) -> Column:
+    return F.coalesce(F.log10(F.greatest(c.cast("double"), F.lit(1e-9))), F.lit(-9.0))
+
+
+def _code(c: str, values: list[str]) -> Column:
+    return reduce(lambda rest, iv: F.when(F.col(c) == iv[1], float(iv[0] + 1)).otherwise(rest), enumerate(values), F.lit(0.0))
+
+
+#: Features for each unit: never one that holds the unit itself.
+FEATURES = {
+    "currency": ["f_lo", "f_hi", "f_width", "f_source", "f_text", "f_period", "f_scale"],
+    "scale": ["f_bound", "f_roubles", "f_other", "f_width", "f_source", "f_text", "f_currency", "f_period"],
+    "period": ["f_roubles", "f_lo", "f_hi", "f_width", "f_source", "f_text", "f_currency", "f_scale"],
 }
 
 
+def _described(df: DataFrame) -> DataFrame:
+    """What all three units are predicted from: source, category and the shape of the pay."""
+    return df.withColumns({
+        "f_lo": _log(F.col("_lo")), "f_hi": _log(F.col("_hi")), "f_width": F.coalesce(F.try_divide(F.col("_hi").cast("double"), F.col("_lo")), F.lit(0.0)),
+        "f_source": F.pmod(F.xxhash64("source"), F.lit(16)).cast("double"), "f_text": F.when(F.col("_has_text"), 1.0).otherwise(0.0),
+        "f_currency": _code("s_currency", [w[0] for w in CURRENCY_WORDS]), "f_period": _code("s_period", [w[0] for w in PERIOD_WORDS]),
+        "f_scale": _log(F.coalesce("s_lo", "s_hi")),
+    })
+
+
+def _bound(df: DataFrame, this: str, other: str) -> DataFrame:
+    """The features of one bound's scale: its size, in roubles too, beside the other bound."""
+    return df.withColumns({"f_bound": _log(F.col(this)), "f_roubles": _log(F.col(this) * F.col("_rate")), "f_other": _log(F.col(other))})
+
+
+def _sampled(labelled: DataFrame, features: list[str]) -> DataFrame:
+    """The labelled rows that a model is fitted on and calibrated with: those with the least hash of their
+    id, at most TRAIN_ROWS + HELD_ROWS; the choice doesn't depend on the partitioning."""
+    rows = labelled.where("label is not null").select("label", *features, F.xxhash64("parse_id", F.lit(11)).alias("_pick"))
+    rows = rows.orderBy("_pick", "label", *features).limit(TRAIN_ROWS + HELD_ROWS)
+    return materialise(rows.withColumn("_held", F.pmod(F.col("_pick"), F.lit(TRAIN_ROWS + HELD_ROWS)) < HELD_ROWS).drop("_pick").coalesce(4), "labels")
+
+
+def predicted_units(df: DataFrame) -> DataFrame:
+    """df of stated_units with p_ and q_, the predicted unit and its calibrated probability, of currency,
+    period, scale_lo and scale_hi. A model is fitted only where some row lacks the unit. The scale
+    comes before the period, which is then predicted from the size of the whole amount."""
+    df = _described(df)
+    lacks = df.agg(*[F.max(c.cast("int")).alias(n) for n, c in (
+        ("currency", F.col("s_currency").isNull()), ("period", F.col("s_period").isNull()),
+        ("scale", (F.col("_lo").isNotNull() & F.col("s_lo").isNull()) | (F.col("_hi").isNotNull() & F.col("s_hi").isNull())),
+    )]).first()
+
+    def model(unit: str, labelled: DataFrame) -> UnitModel | None:
+        return UnitModel(FEATURES[unit]).fit(_sampled(labelled, FEATURES[unit])) if lacks[unit] else None
+
+    def add(df: DataFrame, unit: UnitModel | None, name: str) -> DataFrame:
+        none = {f"p_{name}": F.lit(None).cast("string"), f"q_{name}": F.lit(0.0)}
+        return df.withColumns(none) if unit is None else unit.predict(df, f"p_{name}", f"q_{name}")
+
+    df = add(df, model("currency", df.withColumn("label", F.col("s_currency"))), "currency")
+    sides = {"lo": ("_lo", "_hi"), "hi": ("_hi", "_lo")}
+    known = [_bound(df, *v).withColumn("label", F.col(f"s_{k}").cast("string")) for k, v in sides.items()]
+    scale = model("scale", known[0].unionByName(known[1]))
+    for k, v in sides.items():
+        df = add(_bound(df, *v), scale, k)
+    whole = F.coalesce(F.col("_hi") * F.coalesce("s_hi", F.col("p_hi").cast("bigint"), F.lit(1)), F.col("_lo") * F.coalesce("s_lo", F.col("p_lo").cast("bigint"), F.lit(1)))
+    df = df.withColumn("f_roubles", _log(whole * F.col("_rate")))
+    df = add(df, model("period", df.withColumn("label", F.col("s_period"))), "period")
+    return df.drop(*{f for names in FEATURES.values() for f in names})
+
+
 def daily_rates(rates: DataFrame, until) -> DataFrame:
     """(code, day, num, den): roubles per unit as an exact fraction, for every day up to `until` with
     the latest rate at or before it. Codes are compared without case; repeated rows count once, and
@@ -182,55 +229,65 @@ def daily_rates(rates: DataFrame, until) -> DataFrame:
     return days.where("code not in ('RUB', 'RUR')")
 
 
+def with_units(parses: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, days): the rows with a bound, what they state of their units and what is predicted, written to
+    the shared folder; and daily_rates up to the last of them."""
+    base = parses.where("min is not null or max is not null").select(
+        "parse_id", "source", "posted_on", F.col("min").alias("_lo"), F.col("max").alias("_hi"), F.col("salary_text").alias("_text"), F.col("currency").alias("_cur")
+    )
+    base = stated_units(base, "_text", "_cur", "_lo", "_hi").withColumn("_has_text", F.col("_text").isNotNull()).drop("_text", "_cur")
+    days = small(daily_rates(rates, parses.agg(F.max("posted_on")).first()[0]))
+    rate = F.when(F.col("s_currency") == "RUB", F.lit(1.0)).otherwise(F.col("_num").cast("double") / F.col("_den"))
+    rated = days.select(F.col("code").alias("s_currency"), F.col("day").alias("posted_on"), F.col("num").alias("_num"), F.col("den").alias("_den"))
+    base = base.join(rated, ["s_currency", "posted_on"], "left").withColumn("_rate", rate).drop("_num", "_den")
+    base = materialise(base, "stated")
+    return materialise(predicted_units(base), "units"), days
+
+
 def monthly_roubles(parses: DataFrame, rates: DataFrame, periods: DataFrame, *, conventions: bool = True, confident: float = CONFIDENT) -> DataFrame:
     """Both bounds of each row in whole roubles per month (half up from the exact product).
 
     Returns parse_id, rub_min, rub_max, the units used (currency, period, scale_min, scale_max),
-    where each came from (stated, convention, predicted) and `review`: null if converted, else why
+    where each came from (stated, predicted, review) and `review`: null if converted, else why
     not (currency, period, scale or rate).
 
-    conventions: a text that names no period means a month, and a number that the text doesn't print
-    with the recorded digits is already in full units. Without them such units are predicted, and a
-    calibrated probability under `confident` sends the row to review.
+    A missing unit is the predicted one if its calibrated probability is at least `confident`; otherwise
+    the row goes to review. conventions: a text that names no period means a month, and a number
+    that the text doesn't print with the recorded digits is already in full units. With them a
+    confident prediction must also agree, and what is under review is settled by them (`review`
+    in the column that says where a unit came from); without them it stays there.
 
     Defined cases: rows with neither bound give no row; a null text or currency states nothing; a
     bound that is null stays null; repeated rows give repeated rows; a day before a currency's first
     rate goes to review; empty tables give an empty result. Further columns are not looked at.
     """
-    base = parses.where("min is not null or max is not null").select(
-        "parse_id", "source", "posted_on", F.col("min").alias("_lo"), F.col("max").alias("_hi"), F.col("salary_text").alias("_text"), F.col("currency").alias("_cur")
-    )
-    base = stated_units(base, "_text", "_cur", "_lo", "_hi").withColumn("_has_text", F.col("_text").isNotNull()).drop("_text", "_cur")
-    base = materialise(base, "units")
-    featured, _ = _features(base, "source", "_lo", "_hi")
-    truths = {
-        "currency": F.col("s_currency"),
-        "period": F.col("s_period"),
-        "scale": F.coalesce(F.col("s_lo"), F.col("s_hi")).cast("string"),
-    }
-    pick = F.xxhash64("parse_id", F.lit(11))
-    for unit, truth in truths.items():
-        labelled = (
-            featured.withColumn("label", truth).where("label is not null")
-            .select("label", *_FOR[unit], pick.alias("_pick")).orderBy("_pick", *_FOR[unit]).limit(TRAIN_ROWS + HELD_ROWS)
-        )
-        labelled = materialise(labelled.withColumn("_held", F.pmod(F.col("_pick"), F.lit(TRAIN_ROWS + HELD_ROWS)) < HELD_ROWS), "labels")
-        featured = UnitModel(_FOR[unit]).fit(labelled).predict(featured, f"p_{unit}", f"q_{unit}")
-    sure = lambda unit: F.when(F.col(f"q_{unit}") >= confident, F.col(f"p_{unit}"))
-    usual = lambda value: F.lit(value) if conventions else F.lit(None)
-    came = lambda stated, ruled: F.when(stated.isNotNull(), "stated").when(ruled.isNotNull(), "convention").otherwise("predicted")
-    used = featured.select(
-        "parse_id", "posted_on", "_lo", "_hi",
-        F.coalesce("s_currency", sure("currency")).alias("currency"),
-        F.coalesce(F.col("s_period"), usual("month"), sure("period")).alias("period"),
-        F.when(F.col("_lo").isNotNull(), F.coalesce(F.col("s_lo"), usual(1), sure("scale").cast("bigint"))).alias("scale_min"),
-        F.when(F.col("_hi").isNotNull(), F.coalesce(F.col("s_hi"), usual(1), sure("scale").cast("bigint"))).alias("scale_max"),
-        came(F.col("s_currency"), F.lit(None)).alias("currency_from"),
-        came(F.col("s_period"), usual("month")).alias("period_from"),
-        came(F.coalesce("s_lo", "s_hi"), usual(1)).alias("scale_from"),
+    rows, days = with_units(parses, rates)
+    return settled(rows, days, periods, conventions=conventions, confident=confident)
+
+
+def settled(rows: DataFrame, days: DataFrame, periods: DataFrame, *, conventions: bool, confident: float = CONFIDENT) -> DataFrame:
+    """monthly_roubles from the result of with_units."""
+    days = days.alias("d")
+
+    def decide(stated: Column, name: str, rule: Column | None, kind: str) -> tuple[Column, Column]:
+        guess = F.when(F.col(f"q_{name}") >= confident, F.col(f"p_{name}").cast(kind))
+        if rule is not None:
+            guess = F.when(guess == rule, guess)
+        unit = F.coalesce(stated, guess, F.lit(None) if rule is None else rule)
+        return unit, F.when(stated.isNotNull(), "stated").when(guess.isNotNull(), "predicted").otherwise("review")
+
+    usual = lambda value: F.lit(value) if conventions else None
+    currency = decide(F.col("s_currency"), "currency", None, "string")
+    period = decide(F.col("s_period"), "period", usual("month"), "string")
+    low, high = (decide(F.col(f"s_{x}"), x, usual(1), "bigint") for x in ("lo", "hi"))
+    has = lambda c, x: F.when(F.col(c).isNotNull(), x)
+    came = F.array(F.coalesce(has("_lo", low[1]), F.lit("")), F.coalesce(has("_hi", high[1]), F.lit("")))
+    both = F.when(F.array_contains(came, "review"), "review").when(F.array_contains(came, "predicted"), "predicted").otherwise("stated")
+    used = rows.select(
+        "parse_id", "posted_on", "_lo", "_hi", currency[0].alias("currency"), period[0].alias("period"),
+        has("_lo", low[0]).alias("scale_min"), has("_hi", high[0]).alias("scale_max"),
+        currency[1].alias("currency_from"), period[1].alias("period_from"), both.alias("scale_from"),
     )
-    last = base.agg(F.max("posted_on")).first()[0]
-    days = small(daily_rates(rates, last)).alias("d")
     kinds = small(periods.where("per_month_den > 0").groupBy("period").agg(F.max(F.struct("per_month_num", "per_month_den")).alias("k")))
     joined = used.join(kinds, "period", "left").join(days, (F.col("currency") == F.col("d.code")) & (F.col("posted_on") == F.col("d.day")), "left")
     rub = F.col("currency") == "RUB"
