@@ -56,3 +56,56 @@ def test_operator_keeps_rows_and_handles_odd_cases(spark):
     assert {r.ref_id for r in mapping.map_values(df.where("id = 1"), "v", ref.limit(0), "city_id", "city", "aliases").collect()} == {-1}
     typed = mapping.typed_values(spark.createDataFrame([(1, "Вережград"), (2, "вережград"), (3, "   "), (4, None)], "id bigint, v string"), "id", "v", ref, "city")
     assert [r.record_id for r in typed.collect()] == ["2"]
+
+
+def test_longest_non_overlapping_mention_wins():
+    greek = [(1, "Alpha Beta", []), (2, "Alpha Beta", []), (3, "Beta", []), (4, "Gamma Delta Epsilon", ["gde"]), (5, "Delta Epsilon Zeta", [])]
+    m = mapping.Matcher(greek)
+    assert m.match("Alpha Beta") is None and m.match("beta") == 3
+    assert m.match("gamma delta epsilon zeta") == 4 and m.match("gde, beta") == 3
+    found = m.mentions("gamma delta epsilon zeta", 0)
+    assert len(found) == 2 and len(mapping.non_overlapping(found)) == 1
+    twins = [(1, "Bor", ["old town"]), (2, "Ust", ["old town"])]
+    assert mapping.Matcher(twins).match("old town (Ust)") == 2 and mapping.Matcher(twins).match("old town") is None
+
+
+def test_similarity_ignores_what_stands_beside_and_order():
+    m = mapping.Matcher(ROLES)
+    assert m.match("urgently wanted: backend devloper, night shifts") == 1 and m.match("coordinater / nurse 2 pcs") == 2
+    assert m.match("D B A") == 4 and m.match("DBX") is None
+
+
+@pytest.mark.parametrize("block", [1, 2])
+def test_blocks_of_the_reference_give_the_same(spark, data, block):
+    ref = spark.createDataFrame([*ROLES, *[(k + 100, n, a) for k, n, a in CITIES], (900, "Alpha Beta", []), (901, "Alpha Beta", ["x1"])], "id bigint, name string, aliases array<string>")
+    values = ["Senior Бэкенд-разработчик", "developer, server-side", "ninja", "г. Верегжрад", "dtht;uhfl", "Alpha Beta", "alpha beta x1", "  ", None, "Teplyy Zaton", "DBAs", "Тёплый Затон или Вережград"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(99, values[0])], "i int, v string")
+    whole = sorted(tuple(r) for r in mapping.map_values(df, "v", ref, "id", "name", "aliases").select("i", "ref_id").collect())
+    parts = sorted(tuple(r) for r in mapping.map_values(df, "v", ref, "id", "name", "aliases", block=block).select("i", "ref_id").collect())
+    assert whole == parts and len({r[1] for r in whole}) > 5
+
+
+def test_answers_too_many_for_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "small", lambda df: df)
+    ref = spark.createDataFrame(CITIES, "id bigint, name string, aliases array<string>")
+    df = spark.createDataFrame([(i, "г. Вережград") for i in range(50)] + [(50, "вг"), (51, None)], "i int, v string")
+    rows = mapping.map_values(df, "v", ref, "id", "name", "aliases").collect()
+    assert len(rows) == 52 and sum(r.ref_id == 1 for r in rows) == 51
+
+
+def test_planted_values_on_the_tables(spark, data):
+    """Names with a letter dropped, in another order of words or with words beside must be found again."""
+    import random
+
+    rnd = random.Random(6)
+    rows = [tuple(r) for r in spark.read.parquet(f"{data}/role_reference.parquet").collect()]
+    m = mapping.Matcher(rows)
+    tried = right = 0
+    for key, _, aliases in rows:
+        for name in aliases:
+            words = name.split()
+            k = rnd.randrange(1, len(name) - 1)
+            for value in (name[:k] + name[k + 1 :], ", ".join(reversed(words)), f"senior {name} (remote)", f"{name.upper()} 2 pcs"):
+                tried += len(name) > 4
+                right += len(name) > 4 and m.match(value) == key
+    assert right >= 0.97 * tried

@@ -7,19 +7,25 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A value is mapped by similarity from this share of agreeing characters on (0..1), if the best
-#: entry beats every other by at least the margin. Other readings of a value (another keyboard
-#: layout, another alphabet) must agree more closely.
+from workloom.runtime import materialise, small
+
+#: A value is mapped by similarity from this score on (0..1), if the best entry beats every other by at
+#: least the margin. Other readings of a value (another keyboard layout, another alphabet) must agree
+#: more closely.
 SIMILAR, SIMILAR_OTHER_READING, MARGIN = 0.65, 0.75, 0.04
-#: Reference entries up to which the list is sent to every worker; a larger one is refused, since an
-#: automaton per worker is what the operator is.
-REFERENCE_LIMIT = 200_000
+#: Letters of a name up to which no edit is allowed: any would make it another word.
+NO_EDIT = 3
+#: Reference entries that a worker's automaton holds; a larger reference is matched in blocks of so many.
+REFERENCE_BLOCK = 200_000
+#: Values that a task of the block-wise path maps at a time.
+VALUES = 20_000
 #: Answers kept per worker; the store is emptied when full, which changes no result.
 REMEMBERED = 200_000
+#: Copies of the answers over which rows are dealt when the answers are too many for a broadcast.
+SALTS = 16
 
 # The two keyboard layouts, key by key.
 KEYS_LATIN = "qwertyuiop[]asdfghjkl;'zxcvbnm,.`"
@@ -28,13 +34,6 @@ KEYS_CYRILLIC = "йцукенгшщзхъфывапролджэячсмитьб
 LOOK_LATIN, LOOK_CYRILLIC = "ABEKMHOPCTYXaeopcyxk", "АВЕКМНОРСТУХаеорсухк"
 # Latin spelling of Cyrillic letters.
 SPELLED = dict(zip("абвгдезийклмнопрстуфхцчшщъыьэюя", "a b v g d e z i y k l m n o p r s t u f kh ts ch sh shch - y - e yu ya".split())) | {"ж": "zh", "ё": "e", "ъ": "", "ь": ""}
-# Words beside a name that don't change what it names.
-BESIDE = frozenset(
-    "г гор город пос посёлок поселок с село дер деревня обл область р-н район city town центр офис office center centre downtown "
-    "junior middle senior lead principal trainee intern jr sr mid младший старший ведущий главный средний стажёр стажер джуниор мидл сеньор "
-    "remote удалённо удаленно удалёнка гибрид part-time part time full full-time срочно urgent шт на в".split()
-)
-
 _WORD = re.compile(r"[^\W_]+")
 _CYRILLIC = re.compile(r"[А-Яа-яЁё]")
 
@@ -85,9 +84,68 @@ def distance(a: str, b: str, limit: int) -> int:
     return min(score, limit + 1)
 
 
-def _grams(s: str) -> frozenset[str]:
+def _grams(s: str) -> set[str]:
     s = f" {s} "
-    return frozenset(s[i : i + 2] for i in range(len(s) - 1))
+    return {s[i : i + 2] for i in range(len(s) - 1)}
+
+
+#: A place in a reading that holds a name: start, end and the entries that the name means.
+Mention = tuple[int, int, frozenset]
+
+
+def non_overlapping(found: Sequence[Mention]) -> list[Mention]:
+    """Of all names found in a text the longest, then the longest of those that don't overlap it, and so
+    on; of equally long ones the earlier."""
+    out: list[Mention] = []
+    for m in sorted(found, key=lambda m: (m[0] - m[1], m[0])):
+        if all(m[1] <= o[0] or o[1] <= m[0] for o in out):
+            out.append(m)
+    return out
+
+
+def meant(found: Sequence[Mention]) -> int | None:
+    """The entry that the mentions name: that of the longest one. If several entries share that name, the
+    next mention that means just one of them decides; without any, none is meant."""
+    chosen = non_overlapping(found)
+    if not chosen:
+        return None
+    first = chosen[0][2]
+    for _, _, keys in chosen:
+        if len(keys & first) == 1:
+            return next(iter(keys & first))
+    return None
+
+
+def nearest(scores: dict[int, tuple[float, float]]) -> tuple[float, int] | None:
+    """(score, entry) of the best (score, cover) if it beats the second by MARGIN, in score or, of near
+    scores, in the share of the value that it covers."""
+    rank = sorted(((*v, -k) for k, v in scores.items()), reverse=True)
+    if not rank:
+        return None
+    if len(rank) > 1 and rank[0][0] - rank[1][0] < MARGIN:
+        near = sorted((r for r in rank if rank[0][0] - r[0] < MARGIN), key=lambda r: (-r[1], -r[0], -r[2]))
+        if near[0][1] - near[1][1] < MARGIN:
+            return None
+        return near[0][0], -near[0][2]
+    return rank[0][0], -rank[0][2]
+
+
+class _Name:
+    """A folded name: its words, all of them glued, and the two-letter parts of that."""
+
+    __slots__ = ("words", "glued", "grams", "keys")
+
+    def __init__(self, name: str, keys: set[int]):
+        self.words, self.glued, self.keys = name.split(), name.replace(" ", ""), frozenset(keys)
+        self.grams = _grams(self.glued)
+
+
+def _agreement(a: str, b: str, least: float) -> float:
+    """1 - edits / length of the longer, 0 below `least` or if a, the name's, is too short for edits."""
+    size = max(len(a), len(b))
+    limit = int((1 - least) * size + 1e-9) if len(a) > NO_EDIT else 0
+    d = 0 if a == b else distance(a, b, limit) if abs(len(a) - len(b)) <= limit else limit + 1
+    return 1 - d / size if d <= limit else 0.0
 
 
 class Matcher:
@@ -102,166 +160,212 @@ class Matcher:
             for text in [name, *(aliases or [])]:
                 if text and (f := fold(text)):
                     names.setdefault(f, set()).add(key)
-                    if len(f) > 3:
+                    if len(f) > NO_EDIT:
                         spelled.setdefault(spell(f), set()).add(key)
-        self.names = names
-        self.automata = []
+        self.automata, self.names, self.index = [], [], []
         for patterns in (names, spelled):
             auto = ahocorasick.Automaton()
-            for p in patterns:
-                auto.add_word(f" {p} ", p)
+            for p, keys in patterns.items():
+                auto.add_word(f" {p} ", (len(p), frozenset(keys)))
             if patterns:
                 auto.make_automaton()
-            self.automata.append((auto, patterns))
-        self.sets = []
-        for patterns in (names, spelled):
-            forms = [(p, "".join(p.split()), "".join(sorted(p.split())), frozenset(p.split()), _grams("".join(p.split())), k) for p, k in patterns.items() if len(p) > 3]
-            self.sets.append(forms)
-
-    def _mention(self, text: str, which: int) -> int | None:
-        """The entry of the longest embedded name. Names that overlap a longer one don't count; if
-        the longest ones name different entries the earliest decides, and an alias that several
-        entries share names none."""
-        auto, patterns = self.automata[which]
-        if not patterns or not text:
-            return None
-        hits = [(len(p), end - len(p)) + (p,) for end, p in auto.iter(f" {text} ")]
-        for _, _, p in sorted(hits, key=lambda h: (-h[0], h[1])):
-            if len(patterns[p]) == 1:
-                return next(iter(patterns[p]))
-        return None
-
-    def _similar(self, text: str, which: int, least: float) -> tuple[float, int] | None:
-        """Token-set similarity: the words are compared as a set, in sorted order, joined in the
-        given order, and word by word, whichever agrees best, letters by edit distance."""
+            self.automata.append(auto)
+            forms = [_Name(p, k) for p, k in patterns.items()]
+            index: dict[str, list[int]] = {}
+            for i, f in enumerate(forms):
+                for g in f.grams:
+                    index.setdefault(g, []).append(i)
+            self.names.append(forms)
+            self.index.append(index)
+
+    def mentions(self, text: str, which: int) -> list[Mention]:
+        auto = self.automata[which]
+        return [(end - n, end, keys) for end, (n, keys) in auto.iter(f" {text} ")] if len(auto) and text else []
+
+    def similar(self, text: str, which: int, least: float) -> dict[int, tuple[float, float]]:
+        """entry -> (score, cover): token-set similarity. Each word of a name is paired with the value's word
+        that agrees best with it; the score is the mean agreement by letters, whatever the order and
+        whatever else the value holds; `cover` is the share of the value's letters that were paired.
+        Since blanks get lost or misplaced, neighbouring words are also taken as one, against the
+        glued name. Only names that have a quarter of their two-letter parts in the value are looked
+        at, found by an inverted index of these parts."""
         words = text.split()
-        joined, ordered, bag = "".join(words), "".join(sorted(words)), frozenset(words)
-        if len(joined) < 3:
-            return None
-        mine = _grams(joined)
-        near = []
-        for p, j, o, tokens, grams, keys in self.sets[which]:
-            if abs(len(j) - len(joined)) > (1 - least) * max(len(j), len(joined)):
+        glued = "".join(words)
+        forms, index = self.names[which], self.index[which]
+        common: dict[int, int] = {}
+        for g in set().union(*map(_grams, words), _grams(glued)) if words else ():
+            for i in index.get(g, ()):
+                common[i] = common.get(i, 0) + 1
+        out: dict[int, tuple[float, float]] = {}
+        for i, n in common.items():
+            f = forms[i]
+            if 4 * n < len(f.grams):
                 continue
-            common = len(mine & grams)
-            if common * 4 >= min(len(mine), len(grams)) or bag & tokens:
-                near.append((common, j, o, p, tokens, keys))
-        scores: dict[int, float] = {}
-        for _, j, o, p, tokens, keys in near:
-            size = max(len(j), len(joined))
-            limit = int((1 - least) * size + 1e-9)
-            d = min(distance(joined, j, limit), distance(ordered, o, limit), self._words(words, p.split(), limit))
-            if d <= limit:
-                for k in keys:
-                    scores[k] = max(scores.get(k, 0.0), 1 - d / size)
-        if not scores:
-            return None
-        rank = sorted(scores.items(), key=lambda kv: (-kv[1], kv[0]))
-        if len(rank) > 1 and rank[0][1] - rank[1][1] < MARGIN:
-            return None
-        return rank[0][1], rank[0][0]
+            got = max(self._paired(f, words, glued, least), self._glued(f, words, glued, least))
+            if got[0] >= least:
+                for k in f.keys:
+                    out[k] = max(out.get(k, (0.0, 0.0)), got)
+        return out
 
     @staticmethod
-    def _words(a: list[str], b: list[str], limit: int) -> int:
-        """Edits when each word is paired with the nearest unused word, in any order."""
-        if len(a) != len(b) or len(a) > 6:
-            return limit + 1
-        rest, total = list(b), 0
-        for w in sorted(a, key=len, reverse=True):
-            d, best = min((distance(w, x, limit), x) for x in rest)
-            total += d
-            rest.remove(best)
-            if total > limit:
-                return limit + 1
-        return total
+    def _paired(f: _Name, words: list[str], glued: str, least: float) -> tuple[float, float]:
+        if len(f.words) < 2:
+            return 0.0, 0.0  # the same as glued
+        free, total, cover = dict.fromkeys(range(len(words))), 0.0, 0
+        for w in sorted(f.words, key=len, reverse=True):
+            best = max(((_agreement(w, words[j], 0.5), -j) for j in free), default=(0.0, 0))
+            if best[0]:
+                total += best[0] * len(w)
+                cover += len(words[-best[1]])
+                del free[-best[1]]
+        return total / len(f.glued), cover / len(glued)
 
-    def match(self, value: str) -> int | None:
+    @staticmethod
+    def _glued(f: _Name, words: list[str], glued: str, least: float) -> tuple[float, float]:
+        best, most = (0.0, 0.0), len(f.glued) / least
+        useful = [bool(_grams(w) & f.grams) for w in words]
+        for i in range(len(words)):
+            if not useful[i] and len(words) > 8:
+                continue
+            joined = ""
+            for j in range(i, len(words)):
+                joined += words[j]
+                if len(joined) > most:
+                    break
+                if len(joined) >= least * len(f.glued):
+                    best = max(best, (_agreement(f.glued, joined, least), len(joined) / len(glued)))
+        return best
+
+    @staticmethod
+    def readings(value: str) -> list[tuple[str, int, float]]:
+        """(text, which names, least score): the value as it is, typed in the other keyboard layout, and
+        spelled in Latin letters."""
         raw = _unmix(value)
         text = fold(raw)
-        found = self._mention(text, 0)
-        if found is None and (got := self._readings(raw, text)) is not None:
-            found = got
-        return found
-
-    def _core(self, text: str) -> str:
-        return " ".join(w for w in text.split() if w not in BESIDE and not w.isdigit())
-
-    def _readings(self, raw: str, text: str) -> int | None:
-        latin = not re.search(r"[а-я]", text)
-        keyed = fold(raw.lower().translate(str.maketrans(KEYS_LATIN, KEYS_CYRILLIC))) if latin else ""
-        for reading, which in ((keyed, 0), (spell(text) if latin else "", 1)):
-            if reading and (found := self._mention(reading, which)) is not None:
-                return found
-        bare = fold(re.sub(r"\([^)]*\)", " ", raw))
-        head = fold(re.split(r"[,/(—–|]", raw)[0])
-        swapped = fold(" ".join(reversed(raw.split(",")))) if raw.count(",") == 1 else ""
-        best: tuple[float, int] | None = None
-        for reading, which, least in (
-            (text, 0, SIMILAR), (self._core(text), 0, SIMILAR), (self._core(bare), 0, SIMILAR), (self._core(head), 0, SIMILAR), (swapped, 0, SIMILAR),
-            (self._core(keyed), 0, SIMILAR_OTHER_READING), (self._core(spell(text)) if latin else "", 1, SIMILAR_OTHER_READING),
-        ):
-            got = self._similar(reading, which, least) if reading else None
-            if got and (best is None or got[0] > best[0]):
-                best = got
-        return best[1] if best else None
+        out = [(text, 0, SIMILAR)]
+        if text and not re.search(r"[а-я]", text):
+            keyed = fold(raw.lower().translate(str.maketrans(KEYS_LATIN, KEYS_CYRILLIC)))
+            out += [(keyed, 0, SIMILAR_OTHER_READING), (spell(text), 1, SIMILAR_OTHER_READING)]
+        return out
+
+    def match(self, value: str) -> int | None:
+        readings = self.readings(value)
+        for text, which, _ in readings:
+            if found := self.mentions(text, which):
+                return meant(found)
+        return closest([self.similar(*r) for r in readings])
+
+
+def closest(scores: Sequence[dict[int, tuple[float, float]]]) -> int | None:
+    """The entry of the best-scoring reading; of equal ones the first reading's."""
+    best = max((n for s in scores if (n := nearest(s))), key=lambda n: n[0], default=None)
+    return best and best[1]
 
 
 _MATCHERS: dict[str, tuple[Matcher, dict[str, int]]] = {}
 
 
-def map_values(df: DataFrame, value: str, reference: DataFrame, key: str, name: str, aliases: str, out: str = "ref_id") -> DataFrame:
+def _matcher(entries: list[tuple], token: str) -> tuple[Matcher, dict[str, int]]:
+    if token not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[token] = (Matcher(entries), {})
+    return _MATCHERS[token]
+
+
+def map_values(df: DataFrame, value: str, reference: DataFrame, key: str, name: str, aliases: str, out: str = "ref_id", *, block: int = REFERENCE_BLOCK) -> DataFrame:
     """df with `out`: the reference entry that the value means, -1 if it means none, null if the value
     is null or blank.
 
-    An automaton over all names and aliases finds embedded mentions between word boundaries; the
-    longest wins. A value without one is read in another keyboard layout or alphabet, and what is
-    left goes to token-set similarity. There is no shuffle: every worker holds the automaton, maps
-    the distinct values of each batch once and remembers them, so a value that a third of all rows
-    have costs one lookup per batch.
+    An automaton over all names and aliases finds embedded mentions between word boundaries; of those
+    that don't overlap the longest wins (see `meant`). A value without one is read in another keyboard
+    layout or alphabet, and what is left goes to token-set similarity. Each distinct value is mapped
+    once, by workers that hold the automaton, and the answers are joined back: broadcast if they are
+    few enough, which is checked, otherwise with the rows of a frequent value dealt over SALTS tasks.
+    A reference of more than `block` entries is matched block by block and the findings are put
+    together before anything is decided, with the same result.
 
     Defined cases: ties between entries map to none, except that of equally long mentions the first
     counts; rows and further columns (but one called `out`, which is replaced) are kept; an empty
-    reference maps everything to -1; entries with a null key or name are left out. The reference
-    must have at most REFERENCE_LIMIT entries, which is checked.
+    reference maps everything to -1; entries with a null key or name are left out.
     """
-    entries = [tuple(r) for r in reference.where(F.col(key).isNotNull() & F.col(name).isNotNull()).select(F.col(key).cast("bigint"), name, aliases).distinct().limit(REFERENCE_LIMIT + 1).collect()]
-    if len(entries) > REFERENCE_LIMIT:
-        raise ValueError(f"the reference has more than {REFERENCE_LIMIT} entries")
+    entries = reference.where(F.col(key).isNotNull() & F.col(name).isNotNull()).select(F.col(key).cast("bigint").alias("k"), F.col(name).cast("string").alias("n"), F.col(aliases).alias("a"))
+    column = "_value_to_map"
+    df = df.drop(out).withColumn(column, F.col(value).cast("string"))
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).alias("_one")).select(column)
+    held = entries.distinct().limit(block + 1).collect()
+    answers = _in_blocks(values, entries, column, out, block) if len(held) > block else _in_one(values, [tuple(r) for r in held], column, out)
+    answers = materialise(answers, "answers")
+    few = small(answers)
+    if few is not answers:
+        return df.join(few, column, "left").drop(column)
+    spread = answers.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS).cast("bigint")))
+    return dealt.join(spread, [column, "_salt"], "left").drop(column, "_salt")
+
+
+def _in_one(values: DataFrame, entries: list[tuple], column: str, out: str) -> DataFrame:
     entries.sort(key=lambda e: (e[0], e[1]))
     token = str(hash(repr(entries)))
-    column = "_value_to_map"
-
-    def answers(values: pa.Array) -> pa.Array:
-        if token not in _MATCHERS:
-            _MATCHERS.clear()
-            _MATCHERS[token] = (Matcher(entries), {})
-        matcher, known = _MATCHERS[token]
-        distinct = pc.unique(values)
-        ids = []
-        for v in distinct.to_pylist():
-            if v is None or not v.strip():
-                ids.append(None)
-                continue
-            if v not in known:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                got = matcher.match(v)
-                known[v] = -1 if got is None else got
-            ids.append(known[v])
-        return pa.array(ids, type=pa.int64()).take(pc.index_in(values, value_set=distinct))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher, known = _matcher(entries, token)
         for b in batches:
-            i = b.schema.get_field_index(column)
-            arrays = [c for j, c in enumerate(b.columns) if j != i]
-            names = [f.name for j, f in enumerate(b.schema) if j != i]
-            yield pa.RecordBatch.from_arrays([*arrays, answers(b.column(i))], [*names, out])
-
-    from pyspark.sql import types as T
-
-    df = df.drop(out)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
-    return df.withColumn(column, F.col(value).cast("string")).mapInArrow(run, schema)
+            ids = []
+            for v in b.column(0).to_pylist():
+                if v not in known:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    got = matcher.match(v) if v.strip() else None
+                    known[v] = (-1 if got is None else got) if v.strip() else None
+                ids.append(known[v])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.int64())], [column, out])
+
+    return values.mapInArrow(run, f"{column} string, {out} bigint")
+
+
+def _in_blocks(values: DataFrame, entries: DataFrame, column: str, out: str, block: int) -> DataFrame:
+    """map_values for a reference of any size: slices of the distinct values meet each block of the reference
+    in a task; what is found (mentions, and the entries near enough to the best of the block) is
+    gathered for each value and decided on."""
+    blocks, slices = -(-entries.count() // block), max(1, -(-values.count() // VALUES))
+    number = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n).cast("bigint"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    asked = values.select(column, number(column, slices).alias("slice")).withColumn("block", every(blocks))
+    held = entries.select("k", "n", "a", number("k", blocks).alias("block")).withColumn("slice", every(slices))
+    schema = "value string, reading int, first int, last int, score double, cover double, key bigint"
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        matcher = Matcher(sorted(zip(*[right[c].to_pylist() for c in ("k", "n", "a")]), key=lambda e: (e[0], e[1])))
+        rows = []
+        for v in left[column].to_pylist():
+            for i, (text, which, least) in enumerate(Matcher.readings(v)):
+                rows += [(v, i, a, b, None, None, k) for a, b, keys in matcher.mentions(text, which) for k in keys]
+                near = matcher.similar(text, which, least)
+                top = max((s for s, _ in near.values()), default=0.0)
+                rows += [(v, i, None, None, *s, k) for k, s in near.items() if s[0] > top - 2 * MARGIN]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64())
+        cols = list(zip(*rows)) or [[]] * 7
+        return pa.table([pa.array(c, type=t) for c, t in zip(cols, kinds)], names=[c.split()[0] for c in schema.split(", ")])
+
+    found = asked.groupBy("block", "slice").cogroup(held.groupBy("block", "slice")).applyInArrow(find, schema)
+
+    def decide(t: pa.Table) -> pa.Table:
+        places: dict[int, dict[tuple[int, int], set[int]]] = {}
+        near: dict[int, dict[int, tuple[float, float]]] = {}
+        for _, reading, first, last, score, cover, key in zip(*[c.to_pylist() for c in t.columns]):
+            if first is not None:
+                places.setdefault(reading, {}).setdefault((first, last), set()).add(key)
+            else:
+                near.setdefault(reading, {})[key] = (score, cover)
+        if places:
+            got = meant([(*at, frozenset(k)) for at, k in places[min(places)].items()])
+        else:
+            got = closest([near[r] for r in sorted(near)])
+        return pa.table({column: t["value"].slice(0, 1), out: pa.array([-1 if got is None else got], type=pa.int64())})
+
+    decided = found.groupBy("value").applyInArrow(decide, f"{column} string, {out} bigint")
+    blank = F.trim(F.regexp_replace(column, "(?U)\\s+", " ")) == ""
+    return values.join(decided, column, "left").select(column, F.when(~blank, F.coalesce(out, F.lit(-1).cast("bigint"))).alias(out))
 
 
 def typed_values(df: DataFrame, record: str, value: str, names: DataFrame, name: str) -> DataFrame:
