@@ -64,3 +64,32 @@ def test_a_given_total_and_repeated_ids(spark):
     records, _, shares = run(spark, [(1, "a", "w " * 40), (1, "a", "w " * 40), (None, "a", "w " * 40)], [("a", 1.0, 10)], total=1000)
     s = shares.first()
     assert abs(s.reached - 1000) <= 41 and sum(r.repeats for r in records.collect()) * 41 >= 900
+
+
+def test_a_given_schedule_decides_when_a_source_comes(spark):
+    docs = [(i, "a", "word " * 10) for i in range(2000)] + [(5000 + i, "b", "word " * 10) for i in range(2000)] + [(9000 + i, "c", "word " * 10) for i in range(2000)]
+    schedule = spark.createDataFrame([("a", 0.0, 1.0), ("a", 0.5, 0.0), ("b", 0.5, 0.0), ("b", 0.75, 2.0), ("b", 1.0, 0.0), ("zero", 0.2, 0.0), (None, 0.1, 1.0), ("a", 7.0, 9.0)], "source string, at double, weight double")
+    _, copies, shares = run(spark, docs, [("a", 0.4, 1), ("b", 0.4, 1), ("c", 0.2, 1), ("zero", 0.0, 1)], total=12_000, schedule=schedule)
+    at = {s: sorted(x.position for x in copies.collect() if x.source == s) for s in "abc"}
+    want = {"a": lambda x: min(1.0, 4 * x - 4 * x * x) if x < 0.5 else 1.0, "b": lambda x: 0.0 if x < 0.5 else 8 * (x - 0.5) ** 2 if x < 0.75 else 1 - 8 * (1 - x) ** 2, "c": lambda x: x}
+    for s, f in want.items():
+        for x in (0.1, 0.3, 0.5, 0.6, 0.7, 0.9, 1.0):
+            assert abs(sum(p <= x for p in at[s]) / len(at[s]) - f(x)) < 0.01, (s, x)
+    assert {r.source: r.reached for r in shares.collect()}["a"] > 4700
+
+
+def test_a_source_too_small_for_its_cap_gives_what_the_cap_allows(spark):
+    docs = [(i, "big", "word " * 100) for i in range(200)] + [(1000 + i, "scarce", "word " * 100) for i in range(10)]
+    _, _, shares = run(spark, docs, [("big", 0.5, 1), ("scarce", 0.5, 3)], total=20_000)
+    s = {x.source: x for x in shares.collect()}
+    assert s["scarce"].reached == 3 * s["scarce"].supply and s["scarce"].most_repeats == 3 and s["scarce"].demand - s["scarce"].reached == s["scarce"].shortfall > 0
+    assert abs(s["big"].reached - 10_000) <= 101 and s["big"].shortfall == 0
+    assert abs(s["scarce"].reached_share - s["scarce"].reached / (s["scarce"].reached + s["big"].reached)) < 1e-9 and s["scarce"].reached_share < 0.25
+
+
+def test_shares_on_the_tables(spark, data):
+    docs, targets = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "mix_targets"))
+    records, _, shares = mixing.mix(docs, targets)
+    most = {r.source: r.m for r in records.groupBy("source").agg({"tokens": "max"}).withColumnRenamed("max(tokens)", "m").collect()}
+    for s in shares.collect():
+        assert s.most_repeats <= s.cap and abs(s.reached + s.shortfall - s.demand) <= most.get(s.source, 0)
