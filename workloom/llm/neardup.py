@@ -39,10 +39,19 @@ BLOCK = 500
 SALTS = 8
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
-    flat = np.concatenate(arrays) if arrays else np.empty(0, dtype=np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+def _sets(texts: list[str | None], size: int) -> pa.Array:
+    """The distinct runs of `size` words of each text, ascending, for a whole batch at a time."""
+    tokens = [words(t) if t else [] for t in texts]
+    lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+    run = shingles(hashes([w for t in tokens for w in t]), size)
+    own = np.repeat(np.arange(len(tokens)), lengths)
+    inside = own[: len(run)] == own[size - 1 :] if len(run) else np.empty(0, bool)  # not across two texts
+    run, own = run[inside], own[: len(run)][inside]
+    order = np.lexsort((run, own))
+    run, own = run[order], own[order]
+    first = np.concatenate(([True], (run[1:] != run[:-1]) | (own[1:] != own[:-1]))) if len(run) else np.empty(0, bool)
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(own[first], minlength=len(tokens))))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(run[first].view(np.int64)))
 
 
 def run_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -51,8 +60,7 @@ def run_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(hashes(words(t or "")), size)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["id", "runs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _sets(batch.column(1).to_pylist(), size)], ["id", "runs"])
 
     return docs.select(F.col(key).cast("string"), F.col(text).cast("string")).mapInArrow(build, "id string, runs array<bigint>")
 
