@@ -140,8 +140,8 @@ def lake_rows(spark, rows):
 def test_streaming_changes(spark, tmp_path):
     first, second = [("a", "1", pay(1), 1), ("b", "1", pay(1), 1)], [("a", "2", pay(2), 8), ("b", "2", pay(1), 8), ("a", "0", pay(9), 5), ("c", "1", None, 8)]
     schema = lake_rows(spark, first).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     lake_rows(spark, first).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     for rows in (None, second):
         if rows:
@@ -158,3 +158,32 @@ def test_sweeps_by_batch_are_idempotent(spark, tmp_path):
         write(lake_rows(spark, [("a", "2", pay(2), 8), ("b", "1", None, 8)]), 1)
     got = sorted((r.vacancy_id, r.type) for r in spark.read.parquet(str(tmp_path / "events")).collect())
     assert got == [("a", "appeared"), ("a", "salary_changed"), ("b", "appeared")]
+
+
+def test_the_first_batch_run_again_adds_nothing_and_late_records_change_nothing(spark, tmp_path):
+    write = live.sweep_writer(str(tmp_path / "state"), str(tmp_path / "events"))
+    for _ in range(2):
+        write(lake_rows(spark, [("a", "1", pay(1), 5), ("b", "1", None, 5)]), 0)
+    write(lake_rows(spark, [("a", "0", pay(9), 3), ("b", "2", None, 6)]), 1)
+    got = sorted((r.vacancy_id, r.ts.day, r.type) for r in spark.read.parquet(str(tmp_path / "events")).collect())
+    assert got == [("a", 5, "appeared"), ("b", 5, "appeared"), ("b", 6, "desc_changed")]
+    assert {r.vacancy_id: r.content_hash for r in spark.read.parquet(str(tmp_path / "state" / "1")).collect()} == {"a": "1", "b": "2"}
+
+
+def test_complete_sweeps_close_what_they_lack_and_partial_ones_do_not(spark, tmp_path):
+    for complete in (True, False):
+        write = live.sweep_writer(str(tmp_path / f"s{complete}"), str(tmp_path / f"e{complete}"), complete=complete)
+        write(lake_rows(spark, [("a", "1", None, 1), ("b", "1", None, 1)]), 0)
+        write(lake_rows(spark, []), 1)
+        for _ in range(2):
+            write(lake_rows(spark, [("a", "1", None, 8)]), 2)
+        write(lake_rows(spark, [("a", "1", None, 9), ("b", "1", None, 9)]), 3)
+        got = sorted((r.vacancy_id, r.ts.day, r.type) for r in spark.read.parquet(str(tmp_path / f"e{complete}")).collect())
+        assert got == ([("a", 1, "appeared"), ("b", 1, "appeared"), ("b", 8, "closed"), ("b", 9, "appeared")] if complete else [("a", 1, "appeared"), ("b", 1, "appeared")])
+
+
+def test_daily_counts_drop_second_deliveries(spark, tmp_path):
+    events(spark).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("event_id string, ts timestamp, type string").parquet(str(tmp_path / "in"))
+    drain(live.daily_counts(stream).writeStream.format("memory").queryName("daily").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")))
+    assert sorted((r.start.day, r.type, r.n) for r in spark.table("daily").collect()) == [(2, "appeared", 1), (8, "closed", 1), (9, "appeared", 1)]

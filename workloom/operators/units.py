@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from workloom.runtime import materialise, small
+from workloom.runtime import materialise, release, small
 
 #: Rows that the ensemble is fitted on at most, and rows held out to calibrate it. Labelled rows are
 #: picked by the hash of their id, so the choice is the same for any partitioning.
@@ -194,7 +194,12 @@ def predicted_units(df: DataFrame) -> DataFrame:
     )]).first()
 
     def model(unit: str, labelled: DataFrame) -> UnitModel | None:
-        return UnitModel(FEATURES[unit]).fit(_sampled(labelled, FEATURES[unit])) if lacks[unit] else None
+        if not lacks[unit]:
+            return None
+        sample = _sampled(labelled, FEATURES[unit])
+        fitted = UnitModel(FEATURES[unit]).fit(sample)
+        release(sample)
+        return fitted
 
     def add(df: DataFrame, unit: UnitModel | None, name: str) -> DataFrame:
         none = {f"p_{name}": F.lit(None).cast("string"), f"q_{name}": F.lit(0.0)}
@@ -241,7 +246,9 @@ def with_units(parses: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFram
     rated = days.select(F.col("code").alias("s_currency"), F.col("day").alias("posted_on"), F.col("num").alias("_num"), F.col("den").alias("_den"))
     base = base.join(rated, ["s_currency", "posted_on"], "left").withColumn("_rate", rate).drop("_num", "_den")
     base = materialise(base, "stated")
-    return materialise(predicted_units(base), "units"), days
+    rows = materialise(predicted_units(base), "units")
+    release(base)
+    return rows, days
 
 
 def monthly_roubles(parses: DataFrame, rates: DataFrame, periods: DataFrame, *, conventions: bool = True, confident: float = CONFIDENT) -> DataFrame:

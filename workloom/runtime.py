@@ -50,7 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+#: Folders of stages written by this driver and not yet removed.
+_STAGES: set[str] = set()
+
+
 def _forget(spark: SparkSession, path: str) -> None:
+    _STAGES.discard(path)
     try:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -62,12 +67,28 @@ def _forget(spark: SparkSession, path: str) -> None:
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs
     a re-read, and what later steps see (partition ids, samples, seeds) can't change between reads.
-    The files are removed when the driver exits."""
+    The files are removed by `release` once nothing reads them, or when the driver exits."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGES.add(path)
     atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def release(*stages: DataFrame) -> None:
+    """Removes the files of results of `materialise` that no later step reads any more."""
+    for df in stages:
+        if path := getattr(df, "stage_path", None):
+            _forget(df.sparkSession, path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Removes the files of all stages: for a long session, between queries whose results are not needed."""
+    for path in list(_STAGES):
+        _forget(spark, path)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

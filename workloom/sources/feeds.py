@@ -1,16 +1,9 @@
-"""Feeds as Spark sources: exchange rates as XML and paged JSON through the Python data source API."""
+"""Feeds as Spark sources: exchange rates as XML, paged JSON, segment planning and reference trees."""
 
 from __future__ import annotations
 
-import json
-import os
-import re
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def rates_xml(spark: SparkSession, path: str, day: str) -> DataFrame:
@@ -21,55 +14,20 @@ def rates_xml(spark: SparkSession, path: str, day: str) -> DataFrame:
     return got.where("char_code is not null and nominal > 0 and value is not null")
 
 
-class _Pages(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class PagedJson(DataSource):
-    """Search pages saved as JSON files, `segment-page.json` in a folder: each segment is a partition
-    that is read page by page until its last page, a missing page or max_pages. Options: path,
-    max_pages. Items are returned as JSON text with their segment and page."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_json"
-
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField("segment", T.StringType()), T.StructField("page", T.IntegerType()), T.StructField("item", T.StringType())])
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.folder, self.most = options["path"], int(options.get("max_pages", "100000"))
-
-    def partitions(self) -> list[InputPartition]:
-        names = {m[1] for f in os.listdir(self.folder) if (m := re.fullmatch(r"(.+)-\d+\.json", f))}
-        return [_Pages(n) for n in sorted(names)] or [_Pages("")]
-
-    def read(self, partition: _Pages) -> Iterator[tuple]:
-        page = 0
-        while partition.path and page < self.most:
-            at = os.path.join(self.folder, f"{partition.path}-{page}.json")
-            if not os.path.exists(at):
-                return
-            with open(at, encoding="utf-8") as f:
-                got = json.load(f)
-            result = got.get("vacancySearchResult", got)
-            for item in result.get("vacancies", result.get("items", [])):
-                yield partition.path, page, json.dumps(item, ensure_ascii=False)
-            last = ((result.get("paging") or {}).get("lastPage") or {}).get("page", got.get("pages", 0) - 1)
-            if page >= (last or 0):
-                return
-            page += 1
-
-
 def paged(spark: SparkSession, folder: str, max_pages: int = 100_000) -> DataFrame:
-    spark.dataSource.register(PagedJson)
-    return spark.read.format("paged_json").option("path", folder).option("max_pages", str(max_pages)).load()
+    """(segment, page, item): the items, as JSON texts, of search pages saved as `segment-page.json` files in a
+    folder that all executors see. A segment's pages count from 0 up to the page that is its last by
+    its own word, a missing page or max_pages. Both shapes of pages are read."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
+    name = F.regexp_extract("file", r"^(.+)-(\d+)\.json$", 1)
+    at = lambda *paths: F.coalesce(*[F.get_json_object("value", p) for p in paths])
+    last = F.coalesce(at("$.vacancySearchResult.paging.lastPage.page").cast("int"), at("$.pages").cast("int") - 1, F.lit(0))
+    items = F.from_json(at("$.vacancySearchResult.vacancies", "$.vacancySearchResult.items", "$.vacancies", "$.items"), "array<string>")
+    pages = files.select(F.url_decode(name).alias("segment"), F.regexp_extract("file", r"-(\d+)\.json$", 1).cast("int").alias("page"), last.alias("last"), items.alias("items")).where("segment <> ''")
+    upto = Window.partitionBy("segment").orderBy("page")  # the pages of one segment
+    known = pages.select("*", F.row_number().over(upto).alias("k"), F.coalesce(F.max(F.col("page") >= F.col("last")).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)).alias("over"))
+    read = known.where((F.col("page") == F.col("k") - 1) & ~F.col("over") & (F.col("page") < max_pages))
+    return read.select("segment", "page", F.explode("items").alias("item"))
 
 
 def split_segments(count, areas: list, cap: int) -> list[list]:

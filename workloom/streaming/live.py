@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from workloom.operators.snapshots import latest_per_key, payload_pay
 from workloom.operators.state import append_new, derive_events, event_id, upsert
+from workloom.sources.lake import exists
 
 
 def daily_counts(events: DataFrame, late: str = "2 days", size: str = "1 day") -> DataFrame:
@@ -29,7 +30,12 @@ STATE = "content_hash string, lo double, hi double, cur string, fetched_at times
 CHANGES = "event_id string, vacancy_id string, employer_id string, ts timestamp, type string"
 
 
-def _changes(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+def _changes(key, batches: Iterator[pd.DataFrame], state, keep_ms: int | None = None) -> Iterator[pd.DataFrame]:
+    empty = pd.DataFrame([], columns=["event_id", "vacancy_id", "employer_id", "ts", "type"])
+    if state.hasTimedOut:
+        state.remove()
+        yield empty
+        return
     rows = pd.concat(list(batches)).sort_values(["fetched_at", "ingest_seq"])
     old = state.get if state.exists else None
     out = []
@@ -42,31 +48,52 @@ def _changes(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFra
             out.append((f"{key[0]}|{r.fetched_at.isoformat()}|{kind}", key[0], r.employer_id, r.fetched_at, kind))
         old = now
     state.update(old)
-    yield pd.DataFrame(out, columns=["event_id", "vacancy_id", "employer_id", "ts", "type"])
+    if keep_ms:
+        state.setTimeoutDuration(keep_ms)
+    yield pd.DataFrame(out, columns=empty.columns)
 
 
-def changes(lake: DataFrame) -> DataFrame:
+def changes(lake: DataFrame, *, keep_ms: int | None = None) -> DataFrame:
     """appeared, salary_changed and desc_changed events of a stream of lake records, by the state of each
-    posting. `closed` needs a complete sweep and stays with the batch path."""
+    posting. `closed` needs a complete sweep and stays with the batch path. keep_ms: the state of a
+    posting without records for so long is dropped, and it appears anew; by default it stays."""
     flat = lake.where("vacancy_id is not null").select("vacancy_id", "employer_id", "content_hash", "fetched_at", "ingest_seq", payload_pay(F.col("raw_json")).alias("p")).select("*", "p.lo", "p.hi", "p.cur").drop("p")
-    return flat.groupBy("vacancy_id").applyInPandasWithState(_changes, CHANGES, STATE, "append", "NoTimeout")
 
+    def one(key, batches, state):
+        return _changes(key, batches, state, keep_ms)
 
-def sweep_writer(state_folder: str, event_folder: str) -> Callable[[DataFrame, int], None]:
+    return flat.groupBy("vacancy_id").applyInPandasWithState(one, CHANGES, STATE, "append", "ProcessingTimeTimeout" if keep_ms else "NoTimeout")
+
+
+def sweep_writer(state_folder: str, event_folder: str, *, complete: bool = False) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: diffs each batch with the state table, appends the new events and then
-    replaces the state by a new version. Events have stable ids, so a batch that is run again adds none."""
+    writes a new version of the state. Events have stable ids, so a batch that is run again adds none,
+    the first one neither. Records older than the state of their posting are late and change nothing.
+    complete: each batch is a whole sweep, so what it lacks has closed and leaves the state; otherwise
+    absence says nothing. An empty batch is no sweep."""
     columns = ["vacancy_id", "employer_id", "content_hash", "raw_json", "fetched_at", "ingest_seq"]
 
     def write(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        fresh = latest_per_key(batch.select(*columns), ["vacancy_id"], ["fetched_at", "ingest_seq"])
-        old = spark.read.schema(fresh.schema).parquet(f"{state_folder}/{number - 1}") if number else fresh.limit(0)
-        events = derive_events(old, fresh, "1970-01-01", complete=False).drop("event_id", "ts")
-        moment = fresh.select("vacancy_id", F.col("fetched_at").alias("ts"))
-        events = events.join(moment, "vacancy_id").select(event_id("vacancy_id", F.col("ts").cast("string"), "type").alias("event_id"), "vacancy_id", "employer_id", "ts", "type", "payload")
-        if number:
+        got = latest_per_key(batch.select(*columns), ["vacancy_id"], ["fetched_at", "ingest_seq"])
+        before = f"{state_folder}/{number - 1}"
+        old = spark.read.schema(got.schema).parquet(before) if exists(spark, before) else got.limit(0)
+        at = old.select("vacancy_id", F.struct("fetched_at", "ingest_seq").alias("at"))
+        fresh = got.join(at, "vacancy_id", "left").where(F.col("at").isNull() | (F.struct("fetched_at", "ingest_seq") > F.col("at"))).select(*columns)
+        moment = batch.agg(F.max("fetched_at")).first()[0]
+        whole = complete and moment is not None
+        seen = got.select("vacancy_id")
+        gone = old.join(seen, "vacancy_id", "left_anti").where(F.col("fetched_at") < F.lit(moment)) if whole else old.limit(0)
+        events = derive_events(old.join(fresh.select("vacancy_id"), "vacancy_id", "left_semi"), fresh, "1970-01-01", complete=False).drop("event_id", "ts")
+        events = events.join(fresh.select("vacancy_id", F.col("fetched_at").alias("ts")), "vacancy_id")
+        if whole:
+            closed = gone.select("vacancy_id", "employer_id", F.lit("closed").alias("type"), F.lit(None).cast("string").alias("payload"), F.lit(moment).alias("ts"))
+            events = events.unionByName(closed)
+        events = events.select(event_id("vacancy_id", F.col("ts").cast("string"), "type").alias("event_id"), "vacancy_id", "employer_id", "ts", "type", "payload")
+        if exists(spark, event_folder):
             events = append_new(spark.read.parquet(event_folder), events)
         events.write.mode("append").parquet(event_folder)
-        upsert(old, fresh, ["vacancy_id"], ["fetched_at", "ingest_seq"]).write.mode("overwrite").parquet(f"{state_folder}/{number}")
+        kept = upsert(old, fresh, ["vacancy_id"], ["fetched_at", "ingest_seq"])
+        kept.join(gone.select("vacancy_id"), "vacancy_id", "left_anti").write.mode("overwrite").parquet(f"{state_folder}/{number}")
 
     return write
