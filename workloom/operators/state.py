@@ -17,6 +17,24 @@ def event_id(*parts) -> F.Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+#: The pay fields whose change counts, of either payload shape: also how pay is meant (mode, gross).
+PAY_TERMS = "compensation struct<`from`:string,`to`:string,currencyCode:string,mode:string>, salary struct<`from`:string,`to`:string,currency:string,gross:string>"
+
+
+def pay_terms(raw) -> F.Column:
+    """(lower, upper, currency, terms) of a payload: those of its compensation if it has one, else of its salary; null
+    if it has neither."""
+    j = F.from_json(raw, PAY_TERMS)
+    side = lambda p, cur, terms: F.struct(p["from"].alias("lo"), p["to"].alias("hi"), p[cur].alias("cur"), p[terms].alias("terms"))
+    return F.when(j["compensation"].isNotNull(), side(j["compensation"], "currencyCode", "mode")).when(j["salary"].isNotNull(), side(j["salary"], "currency", "gross"))
+
+
+def checked_types(log: DataFrame) -> DataFrame:
+    """The log, failing on the first event of an unknown type."""
+    known = F.col("type").isin(*EVENT_TYPES)
+    return log.withColumn("type", F.when(known, F.col("type")).otherwise(F.raise_error(F.concat(F.lit("unknown type of event: "), F.coalesce("type", F.lit("null")))).cast("string")))
+
+
 def pay_payload(old, new) -> F.Column:
     side = lambda p: F.struct(p["cur"].alias("currency"), p["lo"].cast("bigint").alias("from"), p["hi"].cast("bigint").alias("to"))
     return F.to_json(F.struct(side(new).alias("new"), side(old).alias("old")), {"ignoreNullFields": "false"})
@@ -25,15 +43,17 @@ def pay_payload(old, new) -> F.Column:
 def derive_events(prev: DataFrame, curr: DataFrame, ts: str, *, complete: bool = True) -> DataFrame:
     """Events between two states (vacancy_id, employer_id, content_hash, raw_json): one full outer join.
 
-    `closed` needs proof that the current state is complete; with complete=False none is derived.
-    The payload is parsed only for changed rows. Null ids are left out.
+    `closed` needs proof that the current state is complete; with complete=False none is derived, as for
+    chats, whose sweeps are always partial: only current ids are looked at. Pay has changed if an amount,
+    the currency or its terms (mode, gross) did. The payload is parsed only for changed rows. Null ids
+    are left out.
     """
     p = prev.where("vacancy_id is not null").select("vacancy_id", F.struct("employer_id", "content_hash", "raw_json").alias("p"))
     c = curr.where("vacancy_id is not null").select("vacancy_id", F.struct("employer_id", "content_hash", "raw_json").alias("c"))
     both = p.join(c, "vacancy_id", "full_outer" if complete else "right").where("p is null or c is null or not (p.content_hash <=> c.content_hash)")
-    both = both.withColumns({"a": payload_pay(F.col("p.raw_json")), "b": payload_pay(F.col("c.raw_json"))})
+    both = both.withColumns({"a": payload_pay(F.col("p.raw_json")), "b": payload_pay(F.col("c.raw_json")), "ta": pay_terms(F.col("p.raw_json")), "tb": pay_terms(F.col("c.raw_json"))})
     changed = F.col("p").isNotNull() & F.col("c").isNotNull()
-    pay = changed & ~F.col("a").eqNullSafe(F.col("b"))
+    pay = changed & ~F.col("ta").eqNullSafe(F.col("tb"))
     kind = F.when(F.col("p").isNull(), "appeared").when(F.col("c").isNull(), "closed").when(pay, "salary_changed").otherwise("desc_changed")
     out = both.select("vacancy_id", F.coalesce("c.employer_id", "p.employer_id").alias("employer_id"), F.lit(ts).cast("timestamp").alias("ts"), kind.alias("type"), F.when(pay, pay_payload(F.col("a"), F.col("b"))).alias("payload"))
     return out.select(event_id("vacancy_id", F.lit(ts), "type").alias("event_id"), *out.columns)
