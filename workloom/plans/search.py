@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from workloom.functions import extract, regions, rules
 from workloom.operators import dedup, slim as slim_op, vectors
 from workloom.operators.cumulative import nearest_rank, running_totals
+from workloom.plans import slim_sql as stated
 from workloom.plans.views import SLIM_SQL, adverts, slim
 from workloom.runtime import table
 
@@ -161,7 +162,26 @@ _TOP = f"""select query, rank, neighbour, round(c, 6) as cosine from (select a.v
   cast(row_number() over (partition by a.vec_id order by round({_COS}, 12) desc, b.vec_id) as int) as rank
   from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0 {{0}}) where rank <= 10"""
 
+_ARTIFACT = f"""r0 as (select *, {stated.cleaned('title')} as t0, {stated.cleaned('description_teaser')} as d0 from snap),
+r1 as (select *, case when t0 <> '' then t0 else rtrim(left(d0, 80)) || case when length(d0) > 80 then '…' else '' end end as t, case when t0 <> '' then d0 else '' end as d1 from r0 where t0 <> '' or d0 <> ''),
+r2 as (select *, case when starts_with(lower(d1), lower(t)) then regexp_replace(regexp_replace(substr(d1, length(t) + 1), '^{slim_op._EDGE}', ''), '{slim_op._EDGE}$', '') else d1 end as d2 from r1),
+r3 as (select *, case when length(d2) > 160 then rtrim(left(d2, 160)) || '…' else d2 end as ds from r2)"""
+_FIELDS = (
+    ("id", "vacancy_id"), ("t", "t"), ("e", "nullif(employer_name, '')"), ("c", "nullif(city, '')"), ("rg", "nullif(region, '')"), ("smin", "salary_rub_min"), ("smax", "salary_rub_max"),
+    ("rt", "coalesce(remote_type, 'unknown')"), ("sr", "coalesce(seniority, 'unknown')"), ("src", "source"), ("u", "nullif(source_url, '')"), ("sk", "case when len(skills) > 0 then skills end"),
+    ("ls", "strftime(last_seen_at at time zone 'UTC', '%Y-%m-%d')"), ("ps", "strftime(posted_at at time zone 'UTC', '%Y-%m-%d')"), ("ds", "nullif(ds, '')"),
+)
+_ROW = "'{' || array_to_string([" + ", ".join(f"""'"{k}":' || cast(to_json({e}) as varchar)""" for k, e in _FIELDS) + "], ',') || '}'"
+
 SQL = {
+    "slim_snapshot": f"with recursive {stated.snapshot_sql(since=ACTIVE_SINCE)} select {stated.SNAP_COLUMNS} from snap",
+    "chat_messages_to_slim": f"with recursive {stated.snapshot_sql('telegram')} select {stated.SNAP_COLUMNS} from snap",
+    "artifact_rows": f"with recursive {stated.snapshot_sql(since=ACTIVE_SINCE)}, {_ARTIFACT} select vacancy_id as id, {_ROW} as row from r3",
+    "experience_years": f"with recursive x as (select distinct vacancy_id as id, text as t from vacancies), {stated.years_ctes('x')} select vacancy_id, years from (select distinct * from vacancies) left join years on id = vacancy_id",
+    "salary_parse": f"""with recursive x as (select distinct parse_id as id, salary_text as t from salary_parses), {stated.pay_ctes('x')}
+select parse_id, lo as min, hi as max, cur as currency, coalesce(pay.disclosed, false) as disclosed from (select distinct * from salary_parses) left join pay on id = parse_id""",
+    "skill_extract": f"select vacancy_id, {stated.skills_of('text')} as skills from (select distinct * from vacancies)",
+    "title_clean": f"select vacancy_id, {stated.cleaned('title')} as title from (select distinct * from vacancies)",
     "faceted_search": f"""with {SLIM_SQL} select vacancy_id, title, city, seniority, smin, smax,
   cast(3 * contains(lower(coalesce(title, '')), 'sql')::int + 3 * contains(lower(coalesce(title, '')), 'разраб')::int as int) as score
 from slim where contains(lower(concat_ws(' ', title, text)), 'sql') and contains(lower(concat_ws(' ', title, text)), 'разраб') and (smin >= 100000 or smax >= 100000)""",
