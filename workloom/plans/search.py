@@ -7,21 +7,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workloom.functions import extract, regions, rules
+from workloom.functions import extract, rules
 from workloom.operators import dedup, slim as slim_op, vectors
 from workloom.operators.cumulative import nearest_rank, running_totals
 from workloom.plans import slim_sql as stated
-from workloom.plans.views import SLIM_SQL, adverts, slim
+from workloom.plans.views import SLIM_SQL, adverts, slim, snapshot
 from workloom.runtime import table
 
 
-def search(postings: DataFrame, query: str, *, sources=None, city=None, seniority=None, floor=None) -> DataFrame:
+def search(postings: DataFrame, query: str, *, sources=None, city=None, seniority=None, remote=None, floor=None, page: int | None = None) -> DataFrame:
     """Postings that hold every word of the query in title or text and meet the facets, best first: 3
-    for each word in the title, then the latest seen, then by id."""
+    for each word in the title, then the latest seen, then by id. page: only that page, from 0; the first
+    has PAGES[0] postings, each further one PAGES[1]."""
     words = query.lower().split()
     title, text = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.concat_ws(" ", "title", "text"))
     ok: list[Column] = [F.contains(text, F.lit(w)) for w in words]
-    for c, v in (("city", city), ("seniority", seniority)):
+    for c, v in (("city", city), ("seniority", seniority), ("remote_type", remote)):
         if v is not None:
             ok.append(F.col(c) == v)
     if sources:
@@ -30,7 +31,14 @@ def search(postings: DataFrame, query: str, *, sources=None, city=None, seniorit
         ok.append((F.col("smin") >= floor) | (F.col("smax") >= floor))
     score = sum((F.when(F.contains(title, F.lit(w)), 3).otherwise(0) for w in words), F.lit(0))
     hits = postings.where(reduce(Column.__and__, ok, F.lit(True))).withColumn("score", score)
-    return hits.orderBy(F.desc("score"), F.desc("last_seen_at"), "vacancy_id").select("vacancy_id", "title", "city", "seniority", "smin", "smax", "score")
+    found = hits.orderBy(F.desc("score"), F.desc("last_seen_at"), "vacancy_id").select("vacancy_id", "title", "city", "seniority", "smin", "smax", "score")
+    if page is None:
+        return found
+    return found.offset(PAGES[0] + (page - 1) * PAGES[1] if page else 0).limit(PAGES[1] if page else PAGES[0])
+
+
+#: Postings of the first page of a search and of each further one.
+PAGES = (100, 400)
 
 
 def kpis(postings: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def kpis(postings: DataFrame) -> DataFrame:
 
 def facets(postings: DataFrame, top: int = 200) -> DataFrame:
     """How many postings have each value of each facet; of the cities the `top` most frequent."""
-    long = postings.select(F.explode(F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).alias("value")) for c in ("source", "city", "seniority")])).alias("x")).select("x.*")
+    long = postings.select(F.explode(F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).alias("value")) for c in ("source", "city", "seniority", "remote_type")])).alias("x")).select("x.*")
     per = long.where("value is not null and value <> ''").groupBy("facet", "value").agg(F.count("*").alias("n"))
     cities = per.where("facet = 'city'").orderBy(F.desc("n"), "value").limit(top)
     return per.where("facet <> 'city'").unionByName(cities)
@@ -102,15 +110,6 @@ def _encoding(s, d):
 ACTIVE_SINCE = "2026-05-12 00:00:00"
 
 
-def _snapshot(s, d, source=None, since=None):
-    lake = table(s, d, "raw_lake")
-    by_city, by_subject = regions.maps(table(s, d, "city_reference"))
-    return slim_op.build(
-        lake if source is None else lake.where(F.col("source") == source), table(s, d, "cbr_rates"), since=None if since is None else F.lit(since).cast("timestamp"),
-        details=slim_op.details_of(table(s, d, "vacancies")), by_city=by_city, by_subject=by_subject,
-    )
-
-
 def _every_20th(s, d, stored=None):
     e = table(s, d, "embeddings")
     got = vectors.neighbours(e.where("vec_id % 20 = 0"), e if stored is None else e.where(stored), "vec_id", "embedding", 10)
@@ -119,6 +118,7 @@ def _every_20th(s, d, stored=None):
 
 QUERIES = {
     "faceted_search": lambda s, d: search(slim(s, d), "sql разраб", floor=100_000),
+    "faceted_search_page": lambda s, d: search(slim(s, d), "данн", remote="remote", page=1),
     "search_kpis": lambda s, d: kpis(slim(s, d)),
     "facet_counts": lambda s, d: facets(slim(s, d)),
     "token_index_stats": lambda s, d: token_statistics(adverts(s, d)),
@@ -132,9 +132,9 @@ QUERIES = {
     "skill_extract": lambda s, d: adverts(s, d).select("vacancy_id", extract.skills(F.col("text")).alias("skills")),
     "title_clean": lambda s, d: adverts(s, d).select("vacancy_id", slim_op.clean_title(F.col("title")).alias("title")),
     "html_text": lambda s, d: adverts(s, d).select("vacancy_id", extract.html_text(F.concat(F.lit("<div data-x='1'><p>"), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", "<br>"), F.lit("</p></div>"))).alias("text")),
-    "slim_snapshot": lambda s, d: _snapshot(s, d, since=ACTIVE_SINCE),
-    "artifact_rows": lambda s, d: slim_op.artifact_rows(_snapshot(s, d, since=ACTIVE_SINCE)),
-    "chat_messages_to_slim": lambda s, d: _snapshot(s, d, "telegram"),
+    "slim_snapshot": lambda s, d: snapshot(s, d, since=ACTIVE_SINCE),
+    "artifact_rows": lambda s, d: slim_op.artifact_rows(snapshot(s, d, since=ACTIVE_SINCE)),
+    "chat_messages_to_slim": lambda s, d: snapshot(s, d, "telegram"),
     "near_duplicates_exact": _pairs,
     "near_duplicates_members": _members,
     "near_duplicates_lsh": _lsh,
@@ -185,10 +185,12 @@ select parse_id, lo as min, hi as max, cur as currency, coalesce(pay.disclosed,
     "faceted_search": f"""with {SLIM_SQL} select vacancy_id, title, city, seniority, smin, smax,
   cast(3 * contains(lower(coalesce(title, '')), 'sql')::int + 3 * contains(lower(coalesce(title, '')), 'разраб')::int as int) as score
 from slim where contains(lower(concat_ws(' ', title, text)), 'sql') and contains(lower(concat_ws(' ', title, text)), 'разраб') and (smin >= 100000 or smax >= 100000)""",
+    "faceted_search_page": f"""with {SLIM_SQL}, h as (select *, cast(3 * contains(lower(coalesce(title, '')), 'данн')::int as int) as score from slim where contains(lower(concat_ws(' ', title, text)), 'данн') and remote_type = 'remote')
+select vacancy_id, title, city, seniority, smin, smax, score from h order by score desc, last_seen_at desc, vacancy_id limit 400 offset 100""",
     "search_kpis": f"""with {SLIM_SQL}, p as (select *, coalesce(nullif(smin, 0), nullif(smax, 0)) as pay from slim), s as (select list_sort(list(pay)) as x from p where pay is not null)
 select count(*) as n, round(count(pay) / count(*) * 100, 4) as paid_pct, count(distinct city) as cities, count(distinct employer_name) as employers,
   (select x[1 + len(x) // 2] from s) as median from p""",
-    "facet_counts": f"""with {SLIM_SQL}, l as (select 'source' as facet, source as value from slim union all select 'city', city from slim union all select 'seniority', seniority from slim),
+    "facet_counts": f"""with {SLIM_SQL}, l as (select 'source' as facet, source as value from slim union all select 'city', city from slim union all select 'seniority', seniority from slim union all select 'remote_type', remote_type from slim),
 g as (select facet, value, count(*) as n from l where value <> '' group by all)
 select * from g where facet <> 'city' union all select * from (from g where facet = 'city' order by n desc, value limit 200)""",
     "token_index_stats": f"""with t as (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(concat_ws(' ', title, text)), '{_WORD}'), lambda w: len(w) >= 2))) as w

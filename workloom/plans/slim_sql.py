@@ -149,26 +149,26 @@ rates as (select upper(trim(char_code)) as code, arg_max(value / nominal, (date,
   union all select * from (values ('RUB', 1.0), ('RUR', 1.0))),
 {REGIONS},
 texts0 as (select vacancy_id, arg_max(text, (first_seen_at, text)) as fts from vacancies where text is not null group by 1),
-details as (select vacancy_id, fts, case when length(fts) > 500 then regexp_replace(left(fts, 500), '(?s)^(.+) [^ ]*$', '\\1') else fts end as teaser from texts0),
-rec as (select vacancy_id, min(fetched_at) as first_seen_at, max(fetched_at) as last_seen_at,
+snap_details as (select vacancy_id, fts, case when length(fts) > 500 then regexp_replace(left(fts, 500), '(?s)^(.+) [^ ]*$', '\\1') else fts end as teaser from texts0),
+snap_rec as (select vacancy_id, min(fetched_at) as first_seen_at, max(fetched_at) as last_seen_at,
   arg_max(struct_pack(source := source, emp := employer_id, j := raw_json, posted_at := posted_at, scope := market_scope, role := professional_role_id), (fetched_at, ingest_seq)) as r from raw_lake where {where} group by 1),
-base as (select vacancy_id, first_seen_at, last_seen_at, r.source as source, r.emp as emp, r.j as j, r.posted_at as posted_at, r.scope as market_scope, r.role as professional_role_id, r.source = 'telegram' as chat, teaser as board_teaser, fts as board_fts
-  from rec left join details using (vacancy_id) {f"where last_seen_at >= '{since}+00'" if since else ''}),
-said as (select *, case when chat then coalesce({j('text')}, '') end as said, nullif(concat_ws(' ', nullif(board_teaser, ''), nullif(board_fts, '')), '') as body from base),
-named as (select *, case when chat then coalesce(left(list_filter(list_transform(string_split(said, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], 200), '(untitled)') else coalesce({j('name')}, '') end as title from said),
-pay_texts as (select vacancy_id as id, said as t from named where chat),
+snap_base as (select vacancy_id, first_seen_at, last_seen_at, r.source as source, r.emp as emp, r.j as j, r.posted_at as posted_at, r.scope as market_scope, r.role as professional_role_id, r.source = 'telegram' as chat, teaser as board_teaser, fts as board_fts
+  from snap_rec left join snap_details using (vacancy_id) {f"where last_seen_at >= '{since}+00'" if since else ''}),
+snap_said as (select *, case when chat then coalesce({j('text')}, '') end as said, nullif(concat_ws(' ', nullif(board_teaser, ''), nullif(board_fts, '')), '') as body from snap_base),
+snap_named as (select *, case when chat then coalesce(left(list_filter(list_transform(string_split(said, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], 200), '(untitled)') else coalesce({j('name')}, '') end as title from snap_said),
+pay_texts as (select vacancy_id as id, said as t from snap_named where chat),
 {pay_ctes('pay_texts')},
-years_texts as (select vacancy_id as id, coalesce(said, body) as t from named),
+years_texts as (select vacancy_id as id, coalesce(said, body) as t from snap_named),
 {years_ctes('years_texts')},
-priced as (select n.*, years, pay.disclosed as told, case when chat then pay.lo else cast(coalesce({j('compensation.from')}, {j('salary.from')}) as bigint) end as lo, case when chat then pay.hi else cast(coalesce({j('compensation.to')}, {j('salary.to')}) as bigint) end as hi,
+snap_priced as (select n.*, years, pay.disclosed as told, case when chat then pay.lo else cast(coalesce({j('compensation.from')}, {j('salary.from')}) as bigint) end as lo, case when chat then pay.hi else cast(coalesce({j('compensation.to')}, {j('salary.to')}) as bigint) end as hi,
   case when chat then pay.cur else coalesce({j('compensation.currencyCode')}, {j('salary.currency')}) end as currency,
   case when chat then said else title end as seen, case when chat then said else concat_ws(' ', nullif(title, ''), board_teaser) end as around_, case when chat then said else concat_ws(' ', nullif(title, ''), body) end as words,
   case when chat then {rules.duckdb_case('said', rules.CITIES)} else coalesce({j('address.city')}, {j('area.name')}) end as city
-  from named n left join pay on pay.id = n.vacancy_id left join years on years.id = n.vacancy_id),
-rub as (select *, cast(round_even(lo * rate, 0) as bigint) as a, cast(round_even(hi * rate, 0) as bigint) as b,
-  regexp_replace(trim(lower(city)), '^(?:городской\\s+округ|город|г\\.)\\s+', '') as place from priced left join rates on upper(currency) = code),
-kept as (select *, case when a between 10000 and 5000000 then a end as smin, case when b between 10000 and 5000000 then b end as smax, trim(regexp_replace(place, '\\([^)]*\\)', '', 'g')) as bare,
-  trim(regexp_replace(regexp_replace(trim(regexp_extract(place, '\\(([^)]*)\\)', 1)), '{_KIND}', ''), '^республика\\s+', '')) as subject from rub),
+  from snap_named n left join pay on pay.id = n.vacancy_id left join years on years.id = n.vacancy_id),
+snap_rub as (select *, cast(round_even(lo * rate, 0) as bigint) as a, cast(round_even(hi * rate, 0) as bigint) as b,
+  regexp_replace(trim(lower(city)), '^(?:городской\\s+округ|город|г\\.)\\s+', '') as place from snap_priced left join rates on upper(currency) = code),
+snap_kept as (select *, case when a between 10000 and 5000000 then a end as smin, case when b between 10000 and 5000000 then b end as smax, trim(regexp_replace(place, '\\([^)]*\\)', '', 'g')) as bare,
+  trim(regexp_replace(regexp_replace(trim(regexp_extract(place, '\\(([^)]*)\\)', 1)), '{_KIND}', ''), '^республика\\s+', '')) as subject from snap_rub),
 snap as (select vacancy_id, title, case when not chat then source || ':' || nullif(emp, '') end as employer_id, coalesce({j('company.visibleName')}, {j('company.name')}, {j('employer.name')}) as employer_name,
   smin as salary_rub_min, smax as salary_rub_max, currency as salary_currency, (case when chat then coalesce(told, false) else coalesce(lo, 0) <> 0 or coalesce(hi, 0) <> 0 end) and (smin is not null or smax is not null) as salary_disclosed,
   city, coalesce(x.region, y.region, z.region) as region,
@@ -176,7 +176,7 @@ snap as (select vacancy_id, title, case when not chat then source || ':' || null
   coalesce({rules.duckdb_case('seen', rules.LEVELS_IN_TITLE)}, {levels('seen')}, case when not chat then {levels('body')} end, case when years >= 7 then 'lead' when years >= 4 then 'senior' when years >= 2 then 'middle' end, {_map(rules.EXPERIENCE_LEVEL, f"coalesce({j('workExperience')}, {j('experience.id')})")}, 'unknown') as seniority,
   case when chat then left(said, 500) else board_teaser end as description_teaser, {skills_of('words')} as skills, source, market_scope, professional_role_id,
   coalesce(case when chat then 'https://t.me/' || {j('channel')} || '/' || {j('message_id')} end, {j('links.desktop')}, {j('links.mobile')}, {j('alternate_url')}) as source_url, first_seen_at, last_seen_at, posted_at
-  from kept left join places x on x.name = place left join places y on y.name = bare left join subjects z on z.name = subject)"""
+  from snap_kept left join places x on x.name = place left join places y on y.name = bare left join subjects z on z.name = subject)"""
 
 
 SNAP_COLUMNS = ", ".join(f.name for f in slim_op.SLIM.fields)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workloom.functions import rules
+from workloom.functions import regions
 from workloom.operators import slim as slim_op
-from workloom.operators.snapshots import payload_pay
-from workloom.runtime import small, table
+from workloom.plans import slim_sql
+from workloom.runtime import changed_at, is_kept, materialise, table
 
 #: "Now" of the reports, fixed so that they give the same result on every day.
 NOW = "2026-05-26 00:00:00"
@@ -24,52 +24,38 @@ def adverts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "vacancies").distinct()
 
 
+#: Snapshots made by this driver: by session, folder and the state of the tables they come from.
+_SNAPSHOTS: dict[tuple, DataFrame] = {}
+_SOURCES = ("raw_lake", "cbr_rates", "vacancies", "city_reference")
+
+
+def snapshot(spark: SparkSession, d: str, source: str | None = None, since: str | None = None) -> DataFrame:
+    """The enriched snapshot of the test tables, with details from the adverts and regions from the table of places."""
+    lake = table(spark, d, "raw_lake")
+    by_city, by_subject = regions.maps(table(spark, d, "city_reference"))
+    return slim_op.build(
+        lake if source is None else lake.where(F.col("source") == source), table(spark, d, "cbr_rates"), since=None if since is None else F.lit(since).cast("timestamp"),
+        details=slim_op.details_of(table(spark, d, "vacancies")), by_city=by_city, by_subject=by_subject,
+    )
+
+
 def slim(spark: SparkSession, d: str) -> DataFrame:
-    """Active postings with board pay in roubles, the tools that their text lists, and their dates."""
-    rec = slim_op.latest_records(table(spark, d, "raw_lake")).withColumn("pay", payload_pay(F.col("raw_json")))
-    exp = F.coalesce(F.get_json_object("raw_json", "$.workExperience"), F.get_json_object("raw_json", "$.experience.id"))
-    rates = small(slim_op.latest_rates(table(spark, d, "cbr_rates")))
-    rec = rec.select("*", exp.alias("exp")).drop("raw_json").join(rates, F.upper("pay.cur") == F.col("code"), "left")
-    rub = lambda c: slim_op.outlier_null(slim_op.to_roubles(F.col(c), F.col("rate")))
-    rec = rec.select(
-        "vacancy_id", F.concat("source", F.lit(":"), "employer_id").alias("employer_id"), rub("pay.lo").alias("smin"), rub("pay.hi").alias("smax"),
-        (F.coalesce("pay.lo", "pay.hi").isNotNull()).alias("disclosed"),
-        rules.lookup(F.col("exp"), rules.EXPERIENCE_LEVEL, "unknown").alias("seniority"), "source", "first_seen_at", "last_seen_at", "posted_at", "professional_role_id",
+    """The snapshot in the columns of the reports. It is made once, written to the shared folder and read by every
+    report on the same tables, for as long as these don't change."""
+    key = (spark.sparkContext.applicationId, d, *[changed_at(spark, f"{d}/{t}.parquet") for t in _SOURCES])
+    known = _SNAPSHOTS.get(key)
+    if known is None or not is_kept(known):
+        _SNAPSHOTS.clear()
+        known = _SNAPSHOTS[key] = materialise(snapshot(spark, d), "slim")
+    return known.select(
+        "vacancy_id", "title", "employer_id", "employer_name", F.col("salary_rub_min").alias("smin"), F.col("salary_rub_max").alias("smax"), F.col("salary_disclosed").alias("disclosed"),
+        "city", "region", "remote_type", "seniority", F.coalesce("description_teaser", F.lit("")).alias("text"), "skills", "source", "professional_role_id", "first_seen_at", "last_seen_at", "posted_at",
     )
-    texts = adverts(spark, d).select("vacancy_id", "title", "employer_name", "city", F.coalesce("text", F.lit("")).alias("text"))
-    tools = F.regexp_extract("text", "(?:Стек|Tools|Stack|Навыки|Инструменты): ([^.\n]*)", 1)
-    skills = F.when(tools != "", F.split(tools, ", ")).otherwise(F.array().cast("array<string>"))
-    return rec.join(texts, "vacancy_id").withColumn("skills", F.array_distinct(skills))
-
-
-SLIM_SQL = """
-rates as (
-  select upper(trim(char_code)) as code, arg_max(value / nominal, (date, value)) as rate from cbr_rates
-  where nominal > 0 and value is not null and upper(trim(char_code)) not in ('RUB', 'RUR') group by 1
-  union all select * from (values ('RUB', 1.0), ('RUR', 1.0))),
-rec as (
-  select vacancy_id, min(fetched_at) as first_seen_at, max(fetched_at) as last_seen_at,
-    arg_max(struct_pack(source := source, employer_id := employer_id, raw_json := raw_json, posted_at := posted_at, professional_role_id := professional_role_id), (fetched_at, ingest_seq)) as r
-  from raw_lake group by vacancy_id),
-rec2 as (
-  select vacancy_id, first_seen_at, last_seen_at, r.source as source, r.employer_id as emp, r.posted_at as posted_at, r.professional_role_id as professional_role_id, r.raw_json as j,
-    cast(coalesce(json_extract_string(r.raw_json, '$.compensation.from'), json_extract_string(r.raw_json, '$.salary.from')) as double) as lo,
-    cast(coalesce(json_extract_string(r.raw_json, '$.compensation.to'), json_extract_string(r.raw_json, '$.salary.to')) as double) as hi,
-    coalesce(json_extract_string(r.raw_json, '$.compensation.currencyCode'), json_extract_string(r.raw_json, '$.salary.currency')) as cur,
-    coalesce(json_extract_string(r.raw_json, '$.workExperience'), json_extract_string(r.raw_json, '$.experience.id')) as exp
-  from rec),
-adverts as (select distinct vacancy_id, source, title, employer_name, city, text, first_seen_at from vacancies),
-slim0 as (
-  select rec2.vacancy_id, source || ':' || emp as employer_id, cast(round_even(lo * rate, 0) as bigint) as a, cast(round_even(hi * rate, 0) as bigint) as b,
-    coalesce(lo, hi) is not null as disclosed,
-    case exp when 'noExperience' then 'junior' when 'between1And3' then 'middle' when 'between3And6' then 'senior' when 'moreThan6' then 'lead' else 'unknown' end as seniority,
-    rec2.source, rec2.first_seen_at, rec2.last_seen_at, posted_at, professional_role_id, title, employer_name, city, coalesce(text, '') as text
-  from rec2 left join rates on upper(cur) = code join (select vacancy_id, title, employer_name, city, text from adverts) using (vacancy_id)),
-slim as (
-  select * exclude (a, b), case when a between 10000 and 5000000 then a end as smin, case when b between 10000 and 5000000 then b end as smax,
-    case when regexp_extract(text, '(?:Стек|Tools|Stack|Навыки|Инструменты): ([^.\\n]*)', 1) <> ''
-      then list_distinct(string_split(regexp_extract(text, '(?:Стек|Tools|Stack|Навыки|Инструменты): ([^.\\n]*)', 1), ', ')) else []::varchar[] end as skills
-  from slim0)
+
+
+SLIM_SQL = f"""recursive {slim_sql.snapshot_sql()},
+slim as (select vacancy_id, title, employer_id, employer_name, salary_rub_min as smin, salary_rub_max as smax, salary_disclosed as disclosed, city, region, remote_type, seniority,
+  coalesce(description_teaser, '') as text, skills, source, professional_role_id, first_seen_at, last_seen_at, posted_at from snap)
 """
 
 EVENTS_SQL = """

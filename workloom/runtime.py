@@ -78,6 +78,18 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return out
 
 
+def is_kept(stage: DataFrame) -> bool:
+    """Whether the files of a result of `materialise` are still there."""
+    return getattr(stage, "stage_path", None) in _STAGES
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed; 0 if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else 0
+
+
 def release(*stages: DataFrame) -> None:
     """Removes the files of results of `materialise` that no later step reads any more."""
     for df in stages:
