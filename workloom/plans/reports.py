@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workloom.plans.views import EVENTS_SQL, SLIM_SQL, events, slim
-from workloom.plans.weekly import _SKILLS, _lake_salary, role_salaries, skill_mentions
+from workloom.plans.weekly import _ROLE, _SKILLS, _lake_salary, role_salaries, skill_mentions
 from workloom.runtime import utc_date
 
 MONTH, NEXT = "2026-03-01", "2026-04-01"
@@ -136,5 +136,10 @@ m as (select vacancy_id from c group by 1 order by count(*) desc, vacancy_id lim
 select vacancy_id, event_id, cast(json_extract_string(payload, '$.old.from') as bigint) as old_from, cast(json_extract_string(payload, '$.old.to') as bigint) as old_to,
   cast(json_extract_string(payload, '$.new.from') as bigint) as new_from, cast(json_extract_string(payload, '$.new.to') as bigint) as new_to from c where vacancy_id in (select vacancy_id from m)""",
     "growing_skills": f"with {SLIM_SQL}, {_SKILLS} select skill, mentions_this_week, delta_pct from velocity where week_start = (select max(week_start) from velocity) and mentions_this_week >= 10 and delta_pct > 0",
+    "national_role_salary": f"""with {SLIM_SQL}, b as (select cast(date_trunc('week', first_seen_at at time zone 'UTC') as date) as week_start, {_ROLE} as role_canonical, seniority,
+  coalesce(cast(trunc((smin + smax) / 2) as bigint), smin, smax) as pay from slim where smin is not null or smax is not null),
+g as (select week_start, role_canonical, seniority, count(*) as n_vacancies, list_sort(list(pay)) as x from b group by all)
+select week_start, role_canonical, seniority, n_vacancies, x[1 + cast(round((n_vacancies - 1) * 0.25) as bigint)] as salary_rub_p25, x[1 + cast(round((n_vacancies - 1) * 0.5) as bigint)] as salary_rub_median,
+  x[1 + cast(round((n_vacancies - 1) * 0.75) as bigint)] as salary_rub_p75 from g where n_vacancies >= 3""",
     "national_heat_map": "select role_canonical, seniority, max(salary_rub_median) as top_median, count(*) as weeks from (select distinct * from weekly_role_salary) where city is null group by all",
 }

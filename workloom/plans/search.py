@@ -112,13 +112,13 @@ ACTIVE_SINCE = "2026-05-12 00:00:00"
 
 def _every_20th(s, d, stored=None):
     e = table(s, d, "embeddings")
-    got = vectors.neighbours(e.where("vec_id % 20 = 0"), e if stored is None else e.where(stored), "vec_id", "embedding", 10)
+    got = vectors.neighbours(e.where("vec_id % 20 = 0"), e if stored is None else e.join(stored, "vec_id", "left_semi"), "vec_id", "embedding", 10)
     return got.withColumn("cosine", F.round("cosine", 6))
 
 
 QUERIES = {
     "faceted_search": lambda s, d: search(slim(s, d), "sql разраб", floor=100_000),
-    "faceted_search_page": lambda s, d: search(slim(s, d), "данн", remote="remote", page=1),
+    "faceted_search_page": lambda s, d: search(slim(s, d), "о", remote="unknown", page=1),
     "search_kpis": lambda s, d: kpis(slim(s, d)),
     "facet_counts": lambda s, d: facets(slim(s, d)),
     "token_index_stats": lambda s, d: token_statistics(adverts(s, d)),
@@ -140,7 +140,7 @@ QUERIES = {
     "near_duplicates_lsh": _lsh,
     "cross_source_dedup": lambda s, d: dedup.across_sources(adverts(s, d), "vacancy_id", "source", _advert(), {"hh": 0, "telegram": 1}).select("vacancy_id", "source"),
     "cosine_topk": lambda s, d: _every_20th(s, d),
-    "similar_active": lambda s, d: _every_20th(s, d, "label % 2 = 0"),
+    "similar_active": lambda s, d: _every_20th(s, d, table(s, d, "documents").where("lang = 'ru'").select(F.col("doc_id").alias("vec_id"))),
     "reencode_plan": _encoding,
     "title_length_ranks": lambda s, d: nearest_rank(adverts(s, d).withColumn("len", F.length("title")), ["source"], "len", {"p25": 0.25, "p50": 0.5, "p75": 0.75}),
 }
@@ -185,7 +185,7 @@ select parse_id, lo as min, hi as max, cur as currency, coalesce(pay.disclosed,
     "faceted_search": f"""with {SLIM_SQL} select vacancy_id, title, city, seniority, smin, smax,
   cast(3 * contains(lower(coalesce(title, '')), 'sql')::int + 3 * contains(lower(coalesce(title, '')), 'разраб')::int as int) as score
 from slim where contains(lower(concat_ws(' ', title, text)), 'sql') and contains(lower(concat_ws(' ', title, text)), 'разраб') and (smin >= 100000 or smax >= 100000)""",
-    "faceted_search_page": f"""with {SLIM_SQL}, h as (select *, cast(3 * contains(lower(coalesce(title, '')), 'данн')::int as int) as score from slim where contains(lower(concat_ws(' ', title, text)), 'данн') and remote_type = 'remote')
+    "faceted_search_page": f"""with {SLIM_SQL}, h as (select *, cast(3 * contains(lower(coalesce(title, '')), 'о')::int as int) as score from slim where contains(lower(concat_ws(' ', title, text)), 'о') and remote_type = 'unknown')
 select vacancy_id, title, city, seniority, smin, smax, score from h order by score desc, last_seen_at desc, vacancy_id limit 400 offset 100""",
     "search_kpis": f"""with {SLIM_SQL}, p as (select *, coalesce(nullif(smin, 0), nullif(smax, 0)) as pay from slim), s as (select list_sort(list(pay)) as x from p where pay is not null)
 select count(*) as n, round(count(pay) / count(*) * 100, 4) as paid_pct, count(distinct city) as cities, count(distinct employer_name) as employers,
@@ -212,7 +212,7 @@ near as (select a, b from pairs union all select b, a from pairs union all selec
 hh as (select distinct near.a as rep from near join members on members.rep = near.b where members.source = 'hh')
 select vacancy_id, source from adverts where not (source = 'telegram' and vacancy_id in (select id from members where rep in (select rep from hh)))""",
     "cosine_topk": _TOP.format(""),
-    "similar_active": _TOP.format("and b.label % 2 = 0"),
+    "similar_active": _TOP.format("and b.vec_id in (select doc_id from documents where lang = 'ru')"),
     "reencode_plan": """with v as (select distinct * from vacancies), a as (select vacancy_id, substr(sha256(coalesce(text, '')), 1, 16) as h from v),
 b as (select vacancy_id, case when city is null then 'stale' else substr(sha256(coalesce(text, '')), 1, 16) end as h from v where source = 'hh')
 select coalesce(a.vacancy_id, b.vacancy_id) as id, case when b.vacancy_id is null then 'new' when a.vacancy_id is null then 'drop' when a.h = b.h then 'keep' else 'changed' end as plan from a full outer join b using (vacancy_id)""",

@@ -73,6 +73,15 @@ def common_ids(s, d):
     return day("2026-04-06").intersect(day("2026-05-25"))
 
 
+def details_upsert(s, d):
+    """Details seen from May 1 on upserted into those seen before May 15: rows of only one side are kept, rows of both
+    are taken from the later text, and of equal ones the new."""
+    rows = table(s, d, "vacancies").select("vacancy_id", "title", "first_seen_at").distinct()
+    at = lambda day: F.lit(f"{day} 00:00:00Z").cast("timestamp")
+    old = rows.where(F.col("first_seen_at") < at("2026-05-15")).select("vacancy_id", F.concat(F.coalesce("title", F.lit("")), F.lit(" (old)")).alias("title"), "first_seen_at")
+    return state.upsert(old, rows.where(F.col("first_seen_at") >= at("2026-05-01")), ["vacancy_id"], ["first_seen_at"])
+
+
 QUERIES = {
     "latest_snapshot": lambda s, d: snapshots.latest_per_key(_lake(s, d).select(*_LATEST), ["vacancy_id"], ["fetched_at", "ingest_seq"]).select(*_LATEST),
     "snapshot_as_of": lambda s, d: _at(s, d, CUT).select(*_LATEST),
@@ -85,7 +94,7 @@ QUERIES = {
     "fx_asof": fx_asof,
     "salary_normalize": salary_normalize,
     "rates_upsert": rates_upsert,
-    "details_upsert": lambda s, d: state.upsert(table(s, d, "vacancies").select("vacancy_id", "title", "first_seen_at").limit(0), table(s, d, "vacancies").select("vacancy_id", "title", "first_seen_at"), ["vacancy_id"], ["first_seen_at"]),
+    "details_upsert": details_upsert,
     "missing_details_antijoin": lambda s, d: state.missing(table(s, d, "vacancies").select("vacancy_id").distinct(), table(s, d, "slim_events"), "vacancy_id"),
     "active_semijoin": lambda s, d: table(s, d, "vacancies").select("vacancy_id", "city").distinct().join(events(s, d).where("type = 'appeared'").select("vacancy_id"), "vacancy_id", "left_semi"),
     "content_hash": lambda s, d: table(s, d, "tg_messages").distinct().select("channel", "message_id", F.substring(F.sha2("text", 256), 1, 16).alias("hash")),
@@ -145,7 +154,9 @@ with {_RATES}, p as (select distinct ingest_seq, {_PAY.format('raw_json')} from
 r as (select ingest_seq, cast(round_even(cast(lo as double) * rate, 0) as bigint) as a, cast(round_even(cast(hi as double) * rate, 0) as bigint) as b from p left join rates on upper(cur) = code)
 select ingest_seq, a as rub_min, b as rub_max, case when a between 10000 and 5000000 then a end as kept_min from r""",
     "rates_upsert": "select date, upper(char_code) as char_code, arg_max(nominal, value) as nominal, max(value) as value from (select distinct date, upper(char_code) as char_code, nominal, value from cbr_rates) group by 1, 2",
-    "details_upsert": "select vacancy_id, arg_max(title, first_seen_at) as title, max(first_seen_at) as first_seen_at from (select distinct vacancy_id, coalesce(title, null) as title, first_seen_at from vacancies) group by 1",
+    "details_upsert": """with r as (select distinct vacancy_id, title, first_seen_at from vacancies),
+u as (select vacancy_id, coalesce(title, '') || ' (old)' as title, first_seen_at, 0 as new from r where first_seen_at < '2026-05-15 00:00:00+00' union all select *, 1 from r where first_seen_at >= '2026-05-01 00:00:00+00')
+select vacancy_id, title, first_seen_at from u qualify row_number() over (partition by vacancy_id order by first_seen_at desc, new desc) = 1""",
     "missing_details_antijoin": "select distinct vacancy_id from vacancies where vacancy_id not in (select vacancy_id from slim_events)",
     "active_semijoin": "select distinct vacancy_id, city from vacancies where vacancy_id in (select vacancy_id from slim_events where type = 'appeared')",
     "content_hash": "select channel, message_id, substr(sha256(text), 1, 16) as hash from (select distinct * from tg_messages)",

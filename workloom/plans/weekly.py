@@ -50,10 +50,8 @@ def role_salaries(postings: DataFrame, least: int = 3) -> DataFrame:
 def role_counts(postings: DataFrame) -> DataFrame:
     """Postings and mean pay by role and level with subtotals, as GROUPING SETS."""
     base = postings.select(rules.role(F.col("title")).alias("role"), "seniority", "smin")
-    base.createOrReplaceTempView("_role_counts")
-    return base.sparkSession.sql(
-        "select role, seniority, cast(grouping_id() as bigint) as gid, count(*) as n, round(avg(smin), 4) as mean_pay from _role_counts group by grouping sets ((role, seniority), (role), ())"
-    )
+    sets = base.groupingSets([["role", "seniority"], ["role"], []], "role", "seniority")
+    return sets.agg(F.grouping_id().cast("bigint").alias("gid"), F.count("*").alias("n"), F.round(F.avg("smin"), 4).alias("mean_pay"))
 
 
 def employer_top(log: DataFrame, postings: DataFrame, since: str, top: int = 50) -> DataFrame:
@@ -114,12 +112,29 @@ def intake(log: DataFrame, today: str, days: int = 18) -> DataFrame:
     return wide.select("d", "hh", "tg", mean.cast("bigint").alias("ma7"))
 
 
+def all_weekly(log: DataFrame, postings: DataFrame, today: str, since: str) -> dict[str, DataFrame]:
+    """The weekly aggregates by name, for lake.write_aggregates: all from one snapshot, which the caller keeps."""
+    return {
+        "weekly_skill_velocity": skill_mentions(postings), "weekly_role_salary": role_salaries(postings),
+        "weekly_employer_top": employer_top(log, postings, since), "daily_market_pulse": market_pulse(log, postings, today),
+    }
+
+
+def weekly_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and weeks (days) of each weekly aggregate, all made from the one kept snapshot."""
+    tables = all_weekly(events(spark, d), slim(spark, d), TODAY, "2026-03-01")
+    at = {k: "date" if k.startswith("daily") else "week_start" for k in tables}
+    one = [df.agg(F.count("*").alias("rows"), F.countDistinct(at[k]).alias("periods")).select(F.lit(k).alias("name"), "rows", "periods") for k, df in tables.items()]
+    return one[0].unionByName(one[1]).unionByName(one[2]).unionByName(one[3])
+
+
 def _lake_salary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "weekly_role_salary").distinct()
 
 
 QUERIES = {
     "skill_velocity": lambda s, d: skill_mentions(slim(s, d)),
+    "weekly_sizes": weekly_sizes,
     "role_salary_grouping_sets": lambda s, d: role_salaries(slim(s, d)),
     "role_counts_rollup": lambda s, d: role_counts(slim(s, d)),
     "employer_top": lambda s, d: employer_top(events(s, d), slim(s, d), "2026-03-01"),
@@ -191,3 +206,5 @@ w as (select cast(ts at time zone 'UTC' as date) as d, count(*) filter (where so
   from ev where type = 'appeared' group by 1 having d >= date '2026-04-05' - 18 and d < date '2026-04-05')
 select d, hh, tg, cast(round_even(avg(hh + tg) over (order by d rows between 6 preceding and current row), 0) as bigint) as ma7 from w""",
 }
+_ALL = (("weekly_skill_velocity", "skill_velocity", "week_start"), ("weekly_role_salary", "role_salary_grouping_sets", "week_start"), ("weekly_employer_top", "employer_top", "week_start"), ("daily_market_pulse", "market_pulse", "date"))
+SQL["weekly_sizes"] = " union all ".join(f"select '{name}' as name, count(*) as rows, count(distinct {at}) as periods from ({SQL[q]})" for name, q, at in _ALL)
