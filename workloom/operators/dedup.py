@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workloom.runtime import materialise
+from workloom.operators import sketch
+from workloom.runtime import materialise, small
 
 #: Likeness from which two postings are the same, and the words of a run.
 SAME, WORDS = 0.88, 4
-#: Occurrences per broadcast hot run: runs with more than the 1/HOT_ROWS part of all occurrences
-#: number less than HOT_ROWS, whatever the data.
-HOT_ROWS = 20_000
 #: Postings of one run that a task of the candidate join meets on the copied side.
 POSTINGS = 2_000
 #: Minhashes, bands, and bits by which two one-bit signatures may differ (J = 0.88 differs in 8 of 128
@@ -51,21 +49,24 @@ def contents(docs: DataFrame, key: str, text) -> tuple[DataFrame, DataFrame]:
 
 
 def _prefixes(reps: DataFrame, t: float) -> DataFrame:
-    """(rep, n, run, often, rank): the rarest n - ceil(t n) + 1 runs of each; two alike sets share one.
-
-    The frequencies of hot runs are broadcast (fewer than HOT_ROWS, see there); the others are
-    joined by shuffle, and none of them is hot."""
-    rows = reps.select("rep", F.size("runs").alias("n"), F.explode("runs").alias("run"))
-    often = materialise(rows.groupBy("run").agg(F.count("*").alias("often")), "frequencies")
-    total = often.agg(F.sum("often")).first()[0] or 0
-    hot = often.where(F.col("often") > total / HOT_ROWS)
-    cold = often.where(F.col("often") <= total / HOT_ROWS)
-    a = rows.join(F.broadcast(hot), "run")
-    b = rows.join(F.broadcast(hot), "run", "left_anti").join(cold, "run")
-    order = F.array_sort(F.collect_list(F.struct("often", "run")))  # one document's runs
-    per = a.unionByName(b).groupBy("rep", "n").agg(order.alias("o"))
-    keep = F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1
-    return per.select("rep", "n", F.posexplode(F.slice("o", F.lit(1), keep.cast("int"))).alias("rank", "x")).select("rep", "n", "rank", "x.*")
+    """(rep, n, run, often, rank): the rarest n - ceil(t n) + 1 runs of each, by the sketched frequency; two alike
+    sets share one. Runs that only one content has are left out."""
+    shared = reps.sparkSession.sparkContext.broadcast(sketch.frequencies(reps, "runs"))  # 8 MB, whatever the data
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            own = np.repeat(np.arange(len(batch)), sizes)
+            often = sketch.estimate(shared.value, flat)
+            order = np.lexsort((flat, often, own))  # the same order of the runs in every content
+            rank, n = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
+            keep = (rank < n - np.ceil(n * t - 1e-9) + 1) & (often[order] > 1)
+            columns = [batch.column(0).take(pa.array(own[order][keep])), pa.array(n[keep].astype(np.int32)), pa.array(flat[order][keep]), pa.array(often[order][keep]), pa.array(rank[keep].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "n", "run", "often", "rank"])
+
+    return reps.select("rep", "runs").mapInArrow(build, "rep string, n int, run bigint, often bigint, rank int")
 
 
 def alike(reps: DataFrame, t: float = SAME) -> DataFrame:
@@ -119,13 +120,32 @@ def minhash_candidates(reps: DataFrame) -> DataFrame:
                     ["rep", "band", "h", "b0", "b1"],
                 )
 
-    rows = reps.select("rep", "runs").mapInArrow(build, "rep string, band int, h bigint, b0 bigint, b1 bigint")
-    x, y = rows.alias("x"), rows.alias("y")
+    rows = materialise(reps.select("rep", "runs").mapInArrow(build, "rep string, band int, h bigint, b0 bigint, b1 bigint"), "bands")
+    many = rows.groupBy("band", "h").agg(F.count("*").alias("k")).where(F.col("k") > POSTINGS)
+    many = small(materialise(many.select("band", "h", F.ceil(F.col("k") / POSTINGS).alias("salts")), "buckets"))
+    # a large bucket is dealt over several tasks on one side and copied to them on the other
+    rows = rows.join(many, ["band", "h"], "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("bigint")))
+    x = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))).alias("x")
+    y = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts"))).alias("y")
     apart = F.bit_count(F.col("x.b0").bitwiseXOR(F.col("y.b0"))) + F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1")))
-    on = (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.rep") < F.col("y.rep")) & (apart <= BITS_APART)
+    on = (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.rep") < F.col("y.rep")) & (apart <= BITS_APART)
     return x.join(y, on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
+def cross_source_pairs(docs: DataFrame, key: str, source: str, text, t: float = SAME) -> DataFrame:
+    """(id_a, id_b, jaccard), id_a < id_b: records of different sources at least t alike; copies have 1.0. Null ids,
+    sources and documents without words are in no pair."""
+    reps, members = contents(docs, key, text)
+    pairs = alike(reps, t).unionByName(reps.select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("jaccard")))
+    told = materialise(members.join(docs.where(F.col(source).isNotNull()).select(F.col(key).cast("string").alias("id"), F.col(source).alias("s")).distinct(), "id"), "sources")
+    mixed = told.groupBy("rep").agg(F.collect_set("s").alias("ss"))  # as many as there are sources
+    near = pairs.join(mixed.select(F.col("rep").alias("a"), F.col("ss").alias("sa")), "a").join(mixed.select(F.col("rep").alias("b"), F.col("ss").alias("sb")), "b")
+    near = near.where((F.size("sa") > 1) | (F.size("sb") > 1) | (F.col("sa") != F.col("sb"))).select("a", "b", "jaccard")  # before records are listed
+    x, y = (told.select(F.col("rep").alias(r), F.col("id").alias(i), F.col("s").alias(f"s{r}")) for r, i in (("a", "i"), ("b", "j")))
+    both = near.join(x, "a").join(y, "b").where("sa <> sb and i <> j")
+    return both.select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"), "jaccard").distinct()
+
+
 def across_sources(docs: DataFrame, key: str, source: str, text, priority: dict[str, int], t: float = SAME) -> DataFrame:
     """The documents that stay when of alike ones from different sources only those of the source with
     the least priority number are kept. Decided per content and its alike contents, so copies are

@@ -137,6 +137,7 @@ QUERIES = {
     "chat_messages_to_slim": lambda s, d: snapshot(s, d, "telegram"),
     "near_duplicates_exact": _pairs,
     "near_duplicates_members": _members,
+    "near_duplicates_cross_source": lambda s, d: dedup.cross_source_pairs(adverts(s, d), "vacancy_id", "source", _advert(), 0.7),
     "near_duplicates_lsh": _lsh,
     "cross_source_dedup": lambda s, d: dedup.across_sources(adverts(s, d), "vacancy_id", "source", _advert(), {"hh": 0, "telegram": 1}).select("vacancy_id", "source"),
     "cosine_topk": lambda s, d: _every_20th(s, d),
@@ -205,6 +206,8 @@ from (select distinct * from vacancies)""",
     "city_classifier": f"select doc_id, {rules.duckdb_case('text', rules.CITIES)} as city from documents",
     "html_text": "select vacancy_id, trim(regexp_replace(coalesce(text, ''), '[\\s\\x{A0}]+', ' ', 'g')) as text from (select distinct * from vacancies)",
     "near_duplicates_exact": f"with {_SETS} select * from pairs",
+    "near_duplicates_cross_source": f"""with {_SETS.replace('0.88', '0.7')}, near as (select a, b, jaccard from pairs union all select rep, rep, 1.0 from reps)
+select distinct least(x.id, y.id) as id_a, greatest(x.id, y.id) as id_b, jaccard from near join members x on x.rep = a join members y on y.rep = b where x.source <> y.source and x.id <> y.id""",
     "near_duplicates_members": f"with {_SETS} select id, rep from members",
     "near_duplicates_lsh": f"with {_SETS} select * from pairs",
     "cross_source_dedup": f"""with {_SETS},
