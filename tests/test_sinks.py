@@ -173,3 +173,64 @@ def test_json_hash_without_fields(spark):
     df = spark.createDataFrame([('{"b": 1, "a": 2}',), ('{"a":2,"b":9}',), ("oops",), (None,)], "j string")
     h = [r[0] for r in df.select(extract.hash_of_json(F.col("j"), ["b"])).collect()]
     assert h[0] == h[1] and h[2] and h[3] is None and extract.canonical_json('{"b": 1, "a": 2}') == '{"a":2,"b":1}'
+
+
+def test_rates_of_days(spark):
+    days = spark.createDataFrame([("2026-01-01",), ("2026-01-02",), ("2026-01-02",), (None,)], "d string")
+    page = "<ValCurs><Valute><CharCode>USD</CharCode><Nominal>1</Nominal><Value>92,5</Value></Valute><Valute><CharCode>BAD</CharCode><Nominal>x</Nominal><Value>1</Value></Valute></ValCurs>"
+    got = feeds.rates_of_days(days, lambda day: page if day.endswith("01") else None).collect()
+    assert [(str(r.date), r.char_code, r.nominal, r.value) for r in got] == [("2026-01-01", "USD", 1, 92.5)]
+
+    def broken(day):
+        raise OSError("down")
+
+    with pytest.raises(Exception, match="down"):
+        feeds.rates_of_days(days, broken).collect()
+
+
+def test_crawl_splits_drains_and_goes_on(spark):
+    size = {"a": 7, "b": 3, "c": 9, "d": 1, "e": 2}
+
+    def count(s):
+        if s == ("e",):
+            raise OSError("count")
+        return sum(size[x] for x in s)
+
+    def drain(s):
+        if "d" in s:
+            raise OSError("drain")
+        return [f"{x}{i}" for x in s for i in range(size[x])]
+
+    split = lambda s: [s[: len(s) // 2], s[len(s) // 2 :]] if len(s) > 1 else []
+    items, ledger = feeds.crawl(spark, [("a", "b", "c"), ("d",), ("e",)], count, split, drain, cap=8)
+    assert sorted(r.item[0] for r in items.collect()) == ["a"] * 7 + ["b"] * 3
+    assert ledger == {"closed": [("a",), ("b",)], "uncovered": [("c",)], "failed": [("d",), ("e",)]}
+    items, again = feeds.crawl(spark, [("a",), ("b",)], count, split, drain, cap=8, closed=ledger["closed"])
+    assert items.collect() == [] and again["closed"] == ledger["closed"]
+
+
+def test_regions_and_lemmas(spark, tmp_path):
+    from workloom.functions import regions
+
+    (tmp_path / "r.json").write_text(json.dumps({"cities": {"Бор ": "ПФО", "x": None}, "subjects": {"Тверская": "ЦФО"}}, ensure_ascii=False), encoding="utf-8")
+    assert regions.load(str(tmp_path / "r.json")) == ({"бор": "ПФО"}, {"тверская": "ЦФО"})
+    df = spark.createDataFrame([(["SQL", "Go"], ["Excel", "Go"]), (["SQL"], None)], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(extract.with_lemmas(F.col("a"), F.col("b"))).collect()] == [["Excel", "Go", "SQL"], ["SQL"]]
+    assert [r[0] for r in df.select(extract.with_lemmas(F.col("a"))).collect()] == [["SQL", "Go"], ["SQL"]]
+
+
+def test_quotas():
+    from workloom.plans.search import quota_verdict
+
+    assert quota_verdict({"bytes": 50, "commands": 10}, {"bytes": 100, "commands": 100}) == ({"bytes": 50.0, "commands": 10.0}, True)
+    assert quota_verdict({"bytes": 90}, {"bytes": 100})[1] is False
+
+
+def test_search_filters_by_place_and_pages(spark):
+    from workloom.plans import search
+
+    rows = [(f"{i:04d}", "Data engineer" if i % 2 else "Cook", "text", "remote" if i % 3 else "office", "hh", "senior", "Бор", 100, None, datetime(2026, 3, 1)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vacancy_id string, title string, text string, remote_type string, source string, seniority string, city string, smin int, smax int, last_seen_at timestamp")
+    whole = [r.vacancy_id for r in search.search(df, "text", remote="remote").collect()]
+    pages = [[r.vacancy_id for r in search.search(df, "text", remote="remote", page=p).collect()] for p in range(4)]
+    assert len(whole) == 666 and sum(pages, []) == whole and [len(p) for p in pages] == [100, 400, 166, 0]

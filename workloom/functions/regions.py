@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+from workloom.functions.extract import load_reference
+
 # Cities and subjects of each federal district, lower-cased, as the reference lists them.
 CITIES = {
     "ЦФО": "москва|воронеж|белгород|брянск|владимир|иваново|калуга|кострома|курск|липецк|орёл|орел|рязань|смоленск|тамбов|тверь|тула|ярославль|подольск|химки|балашиха|королёв|королев|мытищи|люберцы|электросталь|серпухов",
@@ -51,3 +53,10 @@ def maps(cities: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
     for r in rows:
         by_subject.setdefault(subject_key(r.region), r.region)
     return _flat(CITIES) | by_city, _flat(SUBJECTS) | by_subject
+
+
+def load(path: str) -> tuple[dict[str, str], dict[str, str]]:
+    """(by_city, by_subject) from a YAML or JSON file {"cities": {name: region}, "subjects": {name: region}}."""
+    content = load_reference(path) or {}
+    flat = lambda part: {str(k).strip().lower(): v for k, v in (content.get(part) or {}).items() if v}
+    return flat("cities"), flat("subjects")

@@ -11,7 +11,7 @@ from workloom.functions import extract, rules
 from workloom.operators import dedup, slim as slim_op, vectors
 from workloom.operators.cumulative import nearest_rank, running_totals
 from workloom.plans import slim_sql as stated
-from workloom.plans.views import SLIM_SQL, adverts, slim, snapshot
+from workloom.plans.views import SLIM_SQL, adverts, kept_snapshot, slim, snapshot
 from workloom.runtime import table
 
 
@@ -76,6 +76,28 @@ def row_bytes(postings: DataFrame) -> DataFrame:
     return sized.agg(F.count("*").alias("rows"), F.sum("b").alias("total_bytes"), F.round(F.avg("b"), 4).alias("avg_bytes")).join(F.broadcast(p), F.lit(True), "left")
 
 
+def capacity(postings: DataFrame, rows: DataFrame) -> DataFrame:
+    """What a search backend would have to hold, as (measure, value): rows and bytes of the compact rows (total, mean,
+    95th percentile), words and postings of the inverted index, postings of facets and skills."""
+    size = F.octet_length("row").cast("bigint")
+    sized = rows.select(F.lit(1).alias("one"), size.alias("b"))
+    r = running_totals(sized.groupBy("one", "b").agg(F.count("*").alias("k")), ["one"], ["b"], "k", upto="to", whole="all")
+    at = F.least(F.floor(F.col("all") * 0.95), F.col("all") - 1)
+    long = lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in df.columns])).alias("x")).select("x.*")
+    parts = [
+        sized.agg(F.count("*").alias("rows"), F.sum("b").alias("row_bytes"), F.round(F.avg("b"), 4).alias("row_bytes_mean")),
+        r.where((F.col("to") > at) & (F.col("to") - F.col("k") <= at)).select(F.col("b").alias("row_bytes_p95")), token_statistics(postings),
+        facets(postings).agg(F.count("*").alias("facet_values"), F.sum("n").alias("facet_postings")), postings.agg(F.sum(F.size("skills")).alias("skill_postings")),
+    ]
+    return reduce(DataFrame.unionByName, [long(p) for p in parts])
+
+
+def quota_verdict(used: dict[str, float], quota: dict[str, float], most: float = 0.7) -> tuple[dict[str, float], bool]:
+    """(per cent of each quota that is used, whether all stay within the share `most`)."""
+    share = {k: used.get(k, 0.0) / q for k, q in quota.items()}
+    return {k: round(100 * v, 1) for k, v in share.items()}, all(v <= most for v in share.values())
+
+
 def _messages(s, d):
     return table(s, d, "tg_messages").distinct()
 
@@ -122,6 +144,7 @@ QUERIES = {
     "search_kpis": lambda s, d: kpis(slim(s, d)),
     "facet_counts": lambda s, d: facets(slim(s, d)),
     "token_index_stats": lambda s, d: token_statistics(adverts(s, d)),
+    "search_capacity": lambda s, d: capacity(slim(s, d), slim_op.artifact_rows(kept_snapshot(s, d))),
     "p95_bytes": lambda s, d: row_bytes(adverts(s, d)),
     "role_classifier": lambda s, d: adverts(s, d).select("vacancy_id", rules.role(F.col("title")).alias("role")),
     "seniority_classifier": lambda s, d: adverts(s, d).select("vacancy_id", rules.stated_level(F.col("title"), F.col("text")).alias("level")),
@@ -197,6 +220,15 @@ select * from g where facet <> 'city' union all select * from (from g where face
     "token_index_stats": f"""with t as (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(concat_ws(' ', title, text)), '{_WORD}'), lambda w: len(w) >= 2))) as w
   from (select distinct vacancy_id, title, text, employer_name, city, source, first_seen_at from vacancies)), g as (select w, count(*) as n from t group by w)
 select count(*) as unique_tokens, cast(sum(n) as bigint) as postings, round(avg(n), 4) as avg_postings from g""",
+    "search_capacity": f"""with {SLIM_SQL}, {_ARTIFACT}, rows_ as (select strlen({_ROW}) as b from r3), bytes_ as (select list_sort(list(b)) as x from rows_),
+words_ as (select w, count(*) as n from (select unnest(list_distinct(list_filter(regexp_split_to_array(lower(concat_ws(' ', title, text)), '{_WORD}'), lambda w: len(w) >= 2))) as w from slim) group by w),
+facets_ as (select f, v, count(*) as n from (select 'source' as f, source as v from slim union all select 'city', city from slim union all select 'seniority', seniority from slim union all select 'remote_type', remote_type from slim) where v <> '' group by all),
+shown_ as (from facets_ where f <> 'city' union all (from facets_ where f = 'city' order by n desc, v limit 200)),
+m as (select 'rows' as measure, count(*)::double as value from rows_ union all select 'row_bytes', sum(b)::double from rows_ union all select 'row_bytes_mean', round(avg(b), 4) from rows_
+  union all select 'row_bytes_p95', x[1 + least(cast(floor(len(x) * 0.95) as bigint), len(x) - 1)]::double from bytes_
+  union all select 'unique_tokens', count(*)::double from words_ union all select 'postings', sum(n)::double from words_ union all select 'avg_postings', round(avg(n), 4) from words_
+  union all select 'facet_values', count(*)::double from shown_ union all select 'facet_postings', sum(n)::double from shown_ union all select 'skill_postings', sum(len(skills))::double from slim)
+select * from m""",
     "p95_bytes": """with b as (select strlen(concat_ws('', vacancy_id, title, employer_name, city, text)) as b from (select distinct * from vacancies)), l as (select list_sort(list(b)) as x from b)
 select count(*) as rows, cast(sum(b) as bigint) as total_bytes, round(avg(b), 4) as avg_bytes, (select x[1 + least(cast(floor(len(x) * 0.95) as bigint), len(x) - 1)] from l) as p95_bytes from b""",
     "role_classifier": f"select vacancy_id, {rules.duckdb_case('title', rules.ROLES, 'other')} as role from (select distinct * from vacancies)",

@@ -39,15 +39,20 @@ def snapshot(spark: SparkSession, d: str, source: str | None = None, since: str
     )
 
 
-def slim(spark: SparkSession, d: str) -> DataFrame:
-    """The snapshot in the columns of the reports. It is made once, written to the shared folder and read by every
-    report on the same tables, for as long as these don't change."""
+def kept_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The whole snapshot, made once, written to the shared folder and read by every report on the same tables, for as
+    long as these don't change."""
     key = (spark.sparkContext.applicationId, d, *[changed_at(spark, f"{d}/{t}.parquet") for t in _SOURCES])
     known = _SNAPSHOTS.get(key)
     if known is None or not is_kept(known):
         _SNAPSHOTS.clear()
         known = _SNAPSHOTS[key] = materialise(snapshot(spark, d), "slim")
-    return known.select(
+    return known
+
+
+def slim(spark: SparkSession, d: str) -> DataFrame:
+    """The kept snapshot in the columns of the reports."""
+    return kept_snapshot(spark, d).select(
         "vacancy_id", "title", "employer_id", "employer_name", F.col("salary_rub_min").alias("smin"), F.col("salary_rub_max").alias("smax"), F.col("salary_disclosed").alias("disclosed"),
         "city", "region", "remote_type", "seniority", F.coalesce("description_teaser", F.lit("")).alias("text"), "skills", "source", "professional_role_id", "first_seen_at", "last_seen_at", "posted_at",
     )

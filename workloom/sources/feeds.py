@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from workloom.runtime import materialise
+
 
 def rates_xml(spark: SparkSession, path: str, day: str) -> DataFrame:
     """Rates (date, char_code, nominal, value) of one day's XML; decimal commas; malformed rows are left out."""
@@ -14,6 +19,80 @@ def rates_xml(spark: SparkSession, path: str, day: str) -> DataFrame:
     return got.where("char_code is not null and nominal > 0 and value is not null")
 
 
+def rates_of_days(days: DataFrame, fetch: Callable[[str], str | None], attempts: int = 3) -> DataFrame:
+    """Rates (date, char_code, nominal, value) of many days: `fetch` runs on the workers, gets a day as YYYY-MM-DD and
+    gives its XML, or None for a day without rates. It is tried `attempts` times; if it still fails, so does
+    the job. Malformed rows are left out; a day is fetched once, however often it is asked for."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pages = []
+            for day in frame["day"]:
+                for n in range(1, attempts + 1):
+                    try:
+                        pages.append((day, fetch(day)))
+                        break
+                    except Exception:
+                        if n == attempts:
+                            raise
+            yield pd.DataFrame(pages, columns=["day", "page"])
+
+    pages = days.select(F.col(days.columns[0]).cast("date").cast("string").alias("day")).where("day is not null").distinct().mapInPandas(work, "day string, page string")
+    rows = F.from_xml("page", "Valute array<struct<CharCode:string,Nominal:string,Value:string>>")
+    one = pages.where("page is not null").select("day", F.explode(rows["Valute"]).alias("v"))
+    value = F.replace("v.Value", F.lit(","), F.lit(".")).try_cast("double")
+    got = one.select(F.col("day").cast("date").alias("date"), F.col("v.CharCode").alias("char_code"), F.col("v.Nominal").try_cast("int").alias("nominal"), value.alias("value"))
+    return got.where("char_code is not null and nominal > 0 and value is not null")
+
+
+def crawl(
+    spark: SparkSession, segments: Iterable[tuple[str, ...]], count: Callable[[tuple[str, ...]], int], split: Callable[[tuple[str, ...]], list[tuple[str, ...]]],
+    drain: Callable[[tuple[str, ...]], list[str]], *, cap: int, depth: int = 8, closed: Iterable[tuple[str, ...]] = (),
+) -> tuple[DataFrame, dict[str, list]]:
+    """(items, ledger) of a search that shows at most `cap` results a query: segments with more are split, at most
+    `depth` times, until each part has few enough; the parts are drained on the workers, each whole or not
+    at all.
+
+    items: (segment, item). ledger: `closed`, the segments drained now or before (give them to the next run to go
+    on from there), `uncovered`, those over the cap that can't be split, and `failed`, those whose count or
+    drain failed. Only if the last two are empty is the sweep complete, so that absence means closed."""
+    done = {tuple(s) for s in closed}
+    ledger: dict[str, list] = {"closed": sorted(done), "uncovered": [], "failed": []}
+    todo, leaves = [(tuple(s), 0) for s in segments], []
+    while todo:
+        segment, level = todo.pop()
+        if segment in done:
+            continue
+        try:
+            n = count(segment)
+        except Exception:
+            ledger["failed"].append(segment)
+            continue
+        if n <= cap:
+            leaves.append(segment)
+        elif parts := (split(segment) if level < depth else []):
+            todo += [(tuple(p), level + 1) for p in parts]
+        else:
+            ledger["uncovered"].append(segment)
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for segment in frame["segment"]:
+                try:
+                    items, failed = drain(tuple(segment)), False
+                except Exception:
+                    items, failed = [], True
+                yield pd.DataFrame({"segment": [list(segment)] * (len(items) + 1), "item": [*items, None], "failed": [False] * len(items) + [failed]})
+
+    leaves = sorted(set(leaves))
+    asked = spark.createDataFrame([(list(s),) for s in leaves], "segment array<string>").repartition(max(1, len(leaves)))
+    got = materialise(asked.mapInPandas(work, "segment array<string>, item string, failed boolean"), "crawl")
+    bad = {tuple(r[0]) for r in got.where("failed").select("segment").collect()}  # at most one row a segment
+    ledger["failed"] = sorted([*ledger["failed"], *bad])
+    ledger["closed"] = sorted(done | (set(leaves) - bad))
+    return got.where("item is not null").select("segment", "item"), ledger
+
+
 def paged(spark: SparkSession, folder: str, max_pages: int = 100_000) -> DataFrame:
     """(segment, page, item): the items, as JSON texts, of search pages saved as `segment-page.json` files in a
     folder that all executors see. A segment's pages count from 0 up to the page that is its last by
