@@ -93,7 +93,7 @@ def test_the_chain_rejects_what_its_first_segment_lets_through_and_loses_nothing
     docs = [(f"d{i:03d}", " ".join(rnd.sample(parts, 11))) for i in range(250)]
     docs += [(f"e{i:03d}", x.replace("w3", "other", 1)) for i, (_, x) in enumerate(docs[:25])]
     sets, _ = neardup.contents(frame(spark, docs), "key", "body", 4)
-    index = neardup.segment_index(sets, neardup.frequency_sketch(sets), 0.7)
+    index = neardup.segment_index(sets, neardup.frequencies(sets, "runs"), 0.7)
     got = [{tuple(r) for r in neardup.candidates(index, 0.7, chain).collect()} for chain in range(1, neardup.CHAIN + 1)]
     assert got[0] > got[1] > got[3] and len(got[3]) < len(got[0]) / 3
     runs = {r.no: set(r.runs) for r in sets.collect()}
@@ -105,7 +105,7 @@ def test_the_chain_rejects_what_its_first_segment_lets_through_and_loses_nothing
 def test_both_sides_of_the_candidate_join_read_one_shuffle(spark):
     docs = frame(spark, texts(3))
     sets, _ = neardup.contents(docs, "key", "body", 2)
-    index = neardup.segment_index(sets, neardup.frequency_sketch(sets), 0.7)
+    index = neardup.segment_index(sets, neardup.frequencies(sets, "runs"), 0.7)
     got = neardup.candidates(index, 0.7)
     got.collect()
     assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()

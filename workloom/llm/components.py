@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workloom.runtime import materialise
+from workloom.runtime import materialise, release
 
 #: Edges that a grid cell holds on average at most.
 CELL_EDGES = 200_000
@@ -63,7 +63,9 @@ def _to_roots(parents: DataFrame, done: dict[str, int]) -> DataFrame:
     while True:
         got = materialise(_follow(parents, "p", parents), "parents")
         done["jumps"] += 1
+        release(parents)
         parents = got.drop("moved")
+        parents.stage_path = got.stage_path
         if not got.where("moved").limit(1).count():
             return parents
 
@@ -99,6 +101,7 @@ def connected(pairs: DataFrame, a: str, b: str, *, cell_edges: int = CELL_EDGES,
         local = edges.select("a", "b", cell.alias("cell")).groupBy("cell").applyInArrow(_cell, "v string, r string")
         step = local.groupBy("v").agg(F.min("r").alias("p"), F.collect_set("r").alias("rs"))  # at most one r for each block
         step = materialise(step, "representatives")
+        release(edges)
         done["rounds"] += 1
         if blocks == 1:  # one cell held all edges: its roots are the groups
             rounds.append(step.select("v", "p"))

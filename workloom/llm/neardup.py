@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from workloom.llm import components
 from workloom.llm.words import hashes, mix, shingles, words
+from workloom.operators.sketch import estimate, frequencies
 from workloom.runtime import materialise, small
 
-#: Counters of the frequency sketch (two rows of it): its size doesn't grow with the data.
-SKETCH = 1 << 20
 #: Segments of the ring that runs are dealt to by hash, and segments of a chain.
 SEGMENTS, CHAIN = 8, 4
 #: Bits to which the Hamming vector of one segment is folded; CHAIN of them fill a bigint.
@@ -65,35 +64,6 @@ def run_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return docs.select(F.col(key).cast("string"), F.col(text).cast("string")).mapInArrow(build, "id string, runs array<bigint>")
 
 
-def _slots(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    m = mix(runs.view(np.uint64))
-    return (m % np.uint64(SKETCH)).astype(np.int64), ((m >> np.uint64(32)) % np.uint64(SKETCH)).astype(np.int64) + SKETCH
-
-
-def frequency_sketch(sets: DataFrame) -> np.ndarray:
-    """How many records have each run, as a count-min sketch of fixed size over all records: each
-    partition counts into its own sketch, the sums are taken in Spark and only 2 * SKETCH numbers
-    come to the driver, however many runs there are. It only decides the order in which runs are
-    looked at, so its collisions cost time, never a pair."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SKETCH, dtype=np.int64)
-        for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            for part in _slots(flat):
-                total += np.bincount(part, minlength=2 * SKETCH)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 1 << 18):
-            some = at[i : i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "n"])
-
-    sums = sets.select("runs").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    got = sums.toArrow()
-    out = np.zeros(2 * SKETCH, dtype=np.int32)
-    out[got["slot"].to_numpy()] = np.minimum(got["n"].to_numpy(), 2**31 - 1)
-    return out
-
-
 def _ring(flat: np.ndarray, own: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment of each run; per record and segment, packed by BITS: the folded Hamming vectors of the chain
     that starts there, and its sizes after 1, 2.. segments). Two folded vectors differ in at most as many
@@ -127,8 +97,7 @@ def segment_index(sets: DataFrame, sketch: np.ndarray, t: float) -> DataFrame:
     most = 1 << 14  # records at a time, so that the sort key below fits 64 bits
 
     def rows(no: np.ndarray, flat: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-        a, b = _slots(flat)
-        often = np.minimum(shared.value[a], shared.value[b]).astype(np.int64)
+        often = estimate(shared.value, flat)
         seg, folds, sizes = _ring(flat, own, len(no))
         low = flat.view(np.uint64) & np.uint64(0xFFFFFF)
         rarity = (np.minimum(often, (1 << 22) - 1).astype(np.uint64) << np.uint64(24)) | low
@@ -226,7 +195,7 @@ def similar_pairs(docs: DataFrame, key: str, text: str, *, size: int = 5, t: flo
     """
     sets, members = contents(docs, key, text, size)
     unique = sets.join(small(members.where("no <> rep").select("no")), "no", "left_anti")
-    found = materialise(candidates(segment_index(unique, frequency_sketch(unique), t), t), "candidates")
+    found = materialise(candidates(segment_index(unique, frequencies(unique, "runs"), t), t), "candidates")
     ends = small(found.select(F.col("a").alias("no")).unionAll(found.select(F.col("b").alias("no"))).distinct())
     needed = sets.join(ends, "no", "left_semi").select("no", "runs")
     left, right = needed.select(F.col("no").alias("a"), F.col("runs").alias("ra")), needed.select(F.col("no").alias("b"), F.col("runs").alias("rb"))
