@@ -91,7 +91,9 @@ def build(lake: DataFrame, rates: DataFrame, *, since=None, details: DataFrame |
     title = F.when(chat, F.coalesce(F.left(F.get(lines, 0), F.lit(200)), F.lit("(untitled)"))).otherwise(F.coalesce("p.name", F.lit("")))
     rec = rec.withColumns({"_said": said, "title": title, "_chat": chat})
     body = F.nullif(F.concat_ws(" ", F.nullif("_teaser", F.lit("")), F.nullif("_fts", F.lit(""))), F.lit(""))
-    rec = rec.withColumns({"_body": body, "_pay": extract.pay("_said"), "_years": extract.years(F.coalesce("_said", body))})
+    words = F.when(F.col("_chat"), F.col("_said")).otherwise(F.concat_ws(" ", F.nullif("title", F.lit("")), body))
+    # pay, years and skills in one step, so that the texts pass to Python once
+    rec = rec.withColumns({"_body": body, "_pay": extract.pay("_said"), "_years": extract.years(F.coalesce("_said", body)), "_skills": extract.skills(words, taxonomy)})
     lo, hi, cur = (F.coalesce(f"p.compensation.{a}", f"p.salary.{b}") for a, b in (("from", "from"), ("to", "to"), ("currencyCode", "currency")))
     rec = rec.withColumns({
         "_lo": F.when(chat, F.col("_pay.min")).otherwise(lo), "_hi": F.when(chat, F.col("_pay.max")).otherwise(hi),
@@ -112,7 +114,6 @@ def build(lake: DataFrame, rates: DataFrame, *, since=None, details: DataFrame |
     )
     level = F.coalesce("_stated", extract.level_of_years(F.col("_years")), rules.lookup(F.coalesce("p.workExperience", "p.experience.id"), rules.EXPERIENCE_LEVEL), F.lit("unknown"))
     url = F.when(F.col("_chat"), F.concat(F.lit("https://t.me/"), "p.channel", F.lit("/"), F.col("p.message_id").cast("string")))
-    words = F.when(F.col("_chat"), F.col("_said")).otherwise(F.concat_ws(" ", F.nullif("title", F.lit("")), "_body"))
     out = rec.select(
         "vacancy_id", "title", F.when(~F.col("_chat"), F.concat("source", F.lit(":"), F.nullif("employer_id", F.lit("")))).alias("employer_id"),
         F.coalesce("p.company.visibleName", "p.company.name", "p.employer.name").alias("employer_name"),
@@ -120,7 +121,7 @@ def build(lake: DataFrame, rates: DataFrame, *, since=None, details: DataFrame |
         (F.col("_disclosed") & (F.col("salary_rub_min").isNotNull() | F.col("salary_rub_max").isNotNull())).alias("salary_disclosed"),
         "city", region_of(F.col("city"), by_city or {}, by_subject or {}).alias("region"),
         F.coalesce(native, "_place").alias("remote_type"), level.alias("seniority"),
-        F.when(F.col("_chat"), F.left("_said", F.lit(500))).otherwise(F.col("_teaser")).alias("description_teaser"), extract.skills(words, taxonomy).alias("skills"),
+        F.when(F.col("_chat"), F.left("_said", F.lit(500))).otherwise(F.col("_teaser")).alias("description_teaser"), F.col("_skills").alias("skills"),
         "source", "market_scope", "professional_role_id",
         F.coalesce(url, "p.links.desktop", "p.links.mobile", "p.alternate_url").alias("source_url"), "first_seen_at", "last_seen_at", "posted_at",
     )

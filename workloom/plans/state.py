@@ -26,7 +26,7 @@ def snapshot_diff(s, d):
     """Events between the board's states before and after one sweep, with payloads."""
     board = _lake(s, d).where("source = 'hh'")
     day = lambda x: snapshots.latest_per_key(board.where(utc_date("fetched_at") == x).select(*_LATEST, "raw_json"), ["vacancy_id"], ["fetched_at", "ingest_seq"])
-    return state.derive_events(day("2026-05-11"), day("2026-05-18"), "2026-05-18 00:00:00").drop("ts", "event_id")
+    return state.derive_events(day("2026-05-11"), day("2026-05-18"), "2026-05-18 00:00:00").drop("ts")
 
 
 def fx_asof(s, d):
@@ -130,7 +130,8 @@ b as (select coalesce(p.vacancy_id, c.vacancy_id) as vacancy_id, coalesce(c.e, p
   struct_pack({_pay_struct('p.j')}) as a, struct_pack({_pay_struct('c.j')}) as b
   from p full outer join c using (vacancy_id)),
 k as (select *, a.lo is distinct from b.lo or a.hi is distinct from b.hi or a.cur is distinct from b.cur as pay from b where new or gone or ph is distinct from ch)
-select vacancy_id, employer_id, case when new then 'appeared' when gone then 'closed' when pay then 'salary_changed' else 'desc_changed' end as type,
+select sha256(vacancy_id || '|2026-05-18 00:00:00|' || case when new then 'appeared' when gone then 'closed' when pay then 'salary_changed' else 'desc_changed' end) as event_id,
+  vacancy_id, employer_id, case when new then 'appeared' when gone then 'closed' when pay then 'salary_changed' else 'desc_changed' end as type,
   case when not new and not gone and pay then '{{"new":{{"currency":' || coalesce('"' || b.cur || '"', 'null') || ',"from":' || coalesce(b.lo, 'null') || ',"to":' || coalesce(b.hi, 'null')
     || '}},"old":{{"currency":' || coalesce('"' || a.cur || '"', 'null') || ',"from":' || coalesce(a.lo, 'null') || ',"to":' || coalesce(a.hi, 'null') || '}}}}' end as payload
 from k""",

@@ -64,15 +64,21 @@ def _forget(spark: SparkSession, path: str) -> None:
         pass
 
 
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    """The name of a new folder beside the stages, removed with them."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _STAGES.add(path)
+    atexit.register(_forget, spark, path)
+    return path
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs
     a re-read, and what later steps see (partition ids, samples, seeds) can't change between reads.
     The files are removed by `release` once nothing reads them, or when the driver exits."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, label)
     df.write.parquet(path)
-    _STAGES.add(path)
-    atexit.register(_forget, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stage_path = path
     return out

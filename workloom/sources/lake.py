@@ -82,7 +82,12 @@ def append(batch: DataFrame, folder: str) -> None:
     moments = batch.select("fetched_at").distinct().limit(2).collect()
     if len(moments) != 1 or moments[0][0] is None:
         raise ValueError("a batch has exactly one fetched_at")
-    parts = batch.withColumn("year", F.year("fetched_at")).withColumn("month", F.lpad(F.month("fetched_at").cast("string"), 2, "0"))
+    load(batch, folder)
+
+
+def load(rows: DataFrame, folder: str) -> None:
+    """Appends rows of any moments, as year/month/source folders."""
+    parts = rows.withColumn("year", F.year("fetched_at")).withColumn("month", F.lpad(F.month("fetched_at").cast("string"), 2, "0"))
     parts.write.mode("append").option("compression", "zstd").partitionBy("year", "month", "source").parquet(folder)
 
 
