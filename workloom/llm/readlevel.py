@@ -238,7 +238,9 @@ def reading_levels(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", t
     measured = materialise(features(docs, "_id", "_text", corpus_frequencies(docs, "_text")), "features")
     graded = labels.where("level is not null and doc_id is not null").select(F.col("doc_id").alias("id"), "rater", "level").distinct()
     chosen = small(graded.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(train_docs))
-    known = measured.where("has_words").join(chosen, "id", "left_semi").join(graded, "id").select("id", "x", "level").orderBy("id", "level").toArrow()
+    # a row for each level that a document was given, with how often: as many as documents times levels
+    given = graded.join(chosen, "id", "left_semi").groupBy("id", "level").agg(F.count("*").alias("n"))
+    known = measured.where("has_words").join(given, "id").select("id", "x", "level", "n").dropDuplicates(["id", "level"]).orderBy("id", "level").toArrow()
     model = _fit(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +264,9 @@ def _fit(known: pa.Table) -> Ordinal | None:
         return None
     x = np.array(known["x"].to_pylist())
     y, ids = known["level"].to_numpy(), known["id"].to_numpy()
-    _, of, k = np.unique(ids, return_inverse=True, return_counts=True)
-    weight = 1.0 / k[of]
+    n = known["n"].to_numpy().astype(float)
+    _, of = np.unique(ids, return_inverse=True)
+    weight = n / np.bincount(of, weights=n)[of]
     held = (mix(ids.astype(np.uint64)) % np.uint64(HELD_ONE_IN)) == 0
     if held.all() or len(np.unique(y[~held])) < len(np.unique(y)):
         held[:] = False
