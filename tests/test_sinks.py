@@ -234,3 +234,32 @@ def test_search_filters_by_place_and_pages(spark):
     whole = [r.vacancy_id for r in search.search(df, "text", remote="remote").collect()]
     pages = [[r.vacancy_id for r in search.search(df, "text", remote="remote", page=p).collect()] for p in range(4)]
     assert len(whole) == 666 and sum(pages, []) == whole and [len(p) for p in pages] == [100, 400, 166, 0]
+
+
+def test_messages_at_once_and_as_a_stream(spark, tmp_path):
+    lines = [{"channel": "a", "message_id": 1, "date": "2026-03-01T00:00:00Z", "text": "x", "views": 2}, {"channel": "a", "message_id": 2, "text": None}, {"text": "no id"}]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/m.json").write_text("\n".join(map(json.dumps, lines)) + "\nnot json\n")
+    assert sorted(r.message_id for r in feeds.messages(spark, str(tmp_path / "in")).collect()) == [1, 2]
+    q = feeds.messages(spark, str(tmp_path / "in"), stream=True).writeStream.format("memory").queryName("messages").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.table("messages").count() == 2
+
+
+def test_the_package_is_shipped(spark):
+    from workloom import runtime
+
+    runtime.ship(spark)
+    assert any(f.endswith("workloom.zip") for f in spark.sparkContext.listFiles)
+
+
+def test_stages_are_released(spark):
+    from workloom import runtime
+
+    df = runtime.materialise(spark.range(3), "test")
+    assert df.count() == 3 and runtime.is_kept(df) and runtime.changed_at(spark, df.stage_path) > 0
+    runtime.release(df)
+    assert not runtime.is_kept(df) and runtime.changed_at(spark, df.stage_path) == 0

@@ -22,7 +22,7 @@ def event_mix(log: DataFrame) -> DataFrame:
 
 
 def daily_new_closed(log: DataFrame) -> DataFrame:
-    n = lambda t: F.sum(F.when(F.col("type") == t, 1).otherwise(0))
+    n = lambda t: F.count_if(F.col("type") == t)
     return _month(log).groupBy(utc_date("ts").alias("day")).agg(n("appeared").alias("new_n"), n("closed").alias("closed_n")).orderBy("day")
 
 

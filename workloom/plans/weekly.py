@@ -56,7 +56,7 @@ def role_counts(postings: DataFrame) -> DataFrame:
 
 def employer_top(log: DataFrame, postings: DataFrame, since: str, top: int = 50) -> DataFrame:
     """The employers with the most new postings of each week, with name and share of usable pay."""
-    count = lambda t: F.sum(F.when(F.col("type") == t, 1).otherwise(0))
+    count = lambda t: F.count_if(F.col("type") == t)
     per = log.where(f"ts >= timestamp'{since} 00:00:00Z' and employer_id is not null").groupBy(week("ts").alias("week_start"), "employer_id").agg(count("appeared").alias("new_vacancies"), count("closed").alias("closed_vacancies"))
     per = per.where("new_vacancies > 0 or closed_vacancies > 0")
     rank = F.row_number().over(Window.partitionBy("week_start").orderBy(F.desc("new_vacancies"), "employer_id"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -28,7 +30,18 @@ def session(app: str = "workloom", master: str | None = None, **conf: str) -> Sp
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the workers, which import it in Arrow functions. Needed once a session on a cluster whose
+    workers don't have it installed; `session` does it."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(tempfile.mkdtemp(prefix="workloom-"), "workloom")  # on the driver, which serves it
+    spark.sparkContext.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(here), os.path.basename(here)))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

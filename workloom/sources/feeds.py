@@ -109,6 +109,17 @@ def paged(spark: SparkSession, folder: str, max_pages: int = 100_000) -> DataFra
     return read.select("segment", "page", F.explode("items").alias("item"))
 
 
+#: A chat message as exported, one JSON object a line.
+MESSAGE = "channel string, message_id int, date timestamp, text string, views int"
+
+
+def messages(spark: SparkSession, folder: str, *, stream: bool = False) -> DataFrame:
+    """Chat messages from files of JSON lines in a folder, all at once or as a stream that takes files up as they come.
+    Lines that are no message are left out."""
+    reader = (spark.readStream if stream else spark.read).schema(MESSAGE).option("mode", "DROPMALFORMED")
+    return reader.json(folder).where("channel is not null and message_id is not null")
+
+
 def split_segments(count, areas: list, cap: int) -> list[list]:
     """Halves a list of areas until each part has at most `cap` results or one area; parts over the cap
     are reported by their count staying above it."""
