@@ -16,7 +16,8 @@ def test_against_sql(spark, data, con, name):
 
 @pytest.mark.parametrize("name", [k for k in QUERIES if k not in SQL])
 def test_runs(spark, data, name):
-    df = QUERIES[name](spark, data)
+    # in the smallest tables only level 3 was graded, so no document can be at level 4
+    df = QUERIES[name](spark, data.replace("sf0.001", "sf0.01") if name == "p10_found" else data)
     assert df.columns and df.count() > 0
 
 
