@@ -161,6 +161,8 @@ select vacancy_id, title, first_seen_at from u qualify row_number() over (partit
     "missing_details_antijoin": "select distinct vacancy_id from vacancies where vacancy_id not in (select vacancy_id from slim_events)",
     "active_semijoin": "select distinct vacancy_id, city from vacancies where vacancy_id in (select vacancy_id from slim_events where type = 'appeared')",
     "content_hash": "select channel, message_id, substr(sha256(text), 1, 16) as hash from (select distinct * from tg_messages)",
+    # the keys of the payloads are sorted already, so the text without blanks is the canonical one
+    "canonical_json_hash": "select ingest_seq, substr(sha256(cast(json(raw_json) as varchar)), 1, 16) as hash from (select distinct ingest_seq, raw_json from raw_lake)",
     "shape_dispatch_json": """
 select ingest_seq, case when json_exists(raw_json, '$.vacancyId') then 'web' else 'api' end as shape, json_extract_string(raw_json, '$.name') as title,
   coalesce(json_extract_string(raw_json, '$.company.visibleName'), json_extract_string(raw_json, '$.company.name'), json_extract_string(raw_json, '$.employer.name')) as employer,

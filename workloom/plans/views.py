@@ -53,7 +53,7 @@ def kept_snapshot(spark: SparkSession, d: str) -> DataFrame:
     known = _SNAPSHOTS.get(key)
     if known is None or not is_kept(known):
         _SNAPSHOTS.clear()
-        known = _SNAPSHOTS[key] = materialise(snapshot(spark, d), "slim")
+        known = _SNAPSHOTS[key] = materialise(snapshot(spark, d), "slim", shared=True)
     return known
 
 

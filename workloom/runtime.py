@@ -63,8 +63,9 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-#: Folders of stages written by this driver and not yet removed.
+#: Folders of stages written by this driver and not yet removed, and those of them that several queries share.
 _STAGES: set[str] = set()
+_SHARED: set[str] = set()
 
 
 def _forget(spark: SparkSession, path: str) -> None:
@@ -85,13 +86,16 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", *, shared: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs
     a re-read, and what later steps see (partition ids, samples, seeds) can't change between reads.
-    The files are removed by `release` once nothing reads them, or when the driver exits."""
+    The files are removed by `release` once nothing reads them, or when the driver exits. shared: several
+    queries read them, so `release_all` spares them."""
     spark = df.sparkSession
     path = fresh_folder(spark, label)
     df.write.parquet(path)
+    if shared:
+        _SHARED.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stage_path = path
     return out
@@ -117,8 +121,9 @@ def release(*stages: DataFrame) -> None:
 
 
 def release_all(spark: SparkSession) -> None:
-    """Removes the files of all stages: for a long session, between queries whose results are not needed."""
-    for path in list(_STAGES):
+    """Removes the files of all stages that no queries share: for a long session, between queries whose results are not
+    needed any more."""
+    for path in _STAGES - _SHARED:
         _forget(spark, path)
 
 
