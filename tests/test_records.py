@@ -58,3 +58,8 @@ def test_chat_records_and_last_messages(spark):
     got = {r.vacancy_id: r for r in records.chat_records(last, F.lit(NOW)).collect()}
     assert set(got) == {"tg:jobs:3", "tg:jobs:4"} and got["tg:jobs:4"].source == "telegram" and got["tg:jobs:4"].posted_at == NOW
     assert json.loads(got["tg:jobs:4"].raw_json)["text"] == "Четвёртое" and got["tg:jobs:3"].content_hash != got["tg:jobs:4"].content_hash
+
+
+def test_ids(spark):
+    df = spark.createDataFrame([("hh:12",), ("tg:a:3",), ("12",), (None,)], "v string")
+    assert [tuple(r) for r in df.select(records.source_of(F.col("v")), records.bare_id(F.col("v"))).collect()] == [("hh", "12"), ("telegram", None), (None, None), (None, None)]

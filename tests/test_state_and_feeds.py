@@ -187,3 +187,33 @@ def test_daily_counts_drop_second_deliveries(spark, tmp_path):
     stream = spark.readStream.schema("event_id string, ts timestamp, type string").parquet(str(tmp_path / "in"))
     drain(live.daily_counts(stream).writeStream.format("memory").queryName("daily").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")))
     assert sorted((r.start.day, r.type, r.n) for r in spark.table("daily").collect()) == [(2, "appeared", 1), (8, "closed", 1), (9, "appeared", 1)]
+
+
+def test_large_buckets_are_dealt_with_the_same_result(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(900)}" for _ in range(90)]
+    docs = []
+    for i in range(40):
+        w = list(base)
+        w[rnd.randrange(90)] = f"x{i}"
+        docs.append((f"{i:02d}", "hh" if i % 2 else "telegram", " ".join(w)))
+    df = spark.createDataFrame(docs + [("c1", "hh", docs[0][2]), ("c2", "telegram", docs[0][2]), ("n", None, docs[0][2])], "id string, source string, t string")
+    reps, _ = dedup.contents(df, "id", F.col("t"))
+    pairs = lambda c: {(r.a, r.b) for r in dedup.verified(c, reps, dedup.SAME).collect()}
+    lsh, exact = pairs(dedup.minhash_candidates(reps)), {(r.a, r.b) for r in dedup.alike(reps).collect()}
+    monkeypatch.setattr(dedup, "POSTINGS", 3)
+    assert pairs(dedup.minhash_candidates(reps)) == lsh and {(r.a, r.b) for r in dedup.alike(reps).collect()} == exact and lsh and exact
+    across = {(r.id_a, r.id_b): r.jaccard for r in dedup.cross_source_pairs(df, "id", "source", F.col("t")).collect()}
+    assert across["c1", "c2"] == 1.0 and ("00", "c1") in across and ("00", "c2") not in across and not any("n" in p for p in across)
+
+
+def test_rows_repeated_whole_count_once(spark, tmp_path):
+    from workloom.plans.views import adverts
+
+    rows = [("a", "x", None), ("a", "x", None), ("a", None, "x"), ("b", None, None), ("b", None, None)]
+    df = spark.createDataFrame(rows, "vacancy_id string, title string, text string")
+    df.repartition(3).write.parquet(str(tmp_path / "vacancies.parquet"))
+    got = adverts(spark, str(tmp_path))
+    assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted({str(r) for r in df.collect()})

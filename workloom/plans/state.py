@@ -57,9 +57,11 @@ def shape_dispatch(s, d):
 
 
 def rates_upsert(s, d):
-    """The rates of June upserted into those before, one row per date and code."""
+    """The rates from May 15 on upserted into those before June, one row per date and code, however its letters were
+    written: of a day in both the later delivery, here marked by a doubled nominal, stays."""
     rates = table(s, d, "cbr_rates").withColumn("char_code", F.upper("char_code")).distinct()
-    return state.upsert(rates.where("date < '2026-06-01'"), rates.where("date >= '2026-05-15'"), ["date", "char_code"], ["value"])
+    later = rates.where("date >= '2026-05-15'").withColumn("nominal", F.col("nominal") * 2)
+    return state.upsert(rates.where("date < '2026-06-01'"), later, ["date", "char_code"])
 
 
 def closed_ids(s, d):
@@ -154,7 +156,7 @@ select day, code, round(arg_max(rate, date), 8) as rate from d join c on c.date
 with {_RATES}, p as (select distinct ingest_seq, {_PAY.format('raw_json')} from raw_lake where source = 'hh'),
 r as (select ingest_seq, cast(round_even(cast(lo as double) * rate, 0) as bigint) as a, cast(round_even(cast(hi as double) * rate, 0) as bigint) as b from p left join rates on upper(cur) = code)
 select ingest_seq, a as rub_min, b as rub_max, case when a between 10000 and 5000000 then a end as kept_min from r""",
-    "rates_upsert": "select date, upper(char_code) as char_code, arg_max(nominal, value) as nominal, max(value) as value from (select distinct date, upper(char_code) as char_code, nominal, value from cbr_rates) group by 1, 2",
+    "rates_upsert": "select date, upper(char_code) as char_code, cast(any_value(nominal) * case when date >= '2026-05-15' then 2 else 1 end as int) as nominal, any_value(value) as value from cbr_rates group by date, upper(char_code)",
     "details_upsert": """with r as (select distinct vacancy_id, title, first_seen_at from vacancies),
 u as (select vacancy_id, coalesce(title, '') || ' (old)' as title, first_seen_at, 0 as new from r where first_seen_at < '2026-05-15 00:00:00+00' union all select *, 1 from r where first_seen_at >= '2026-05-01 00:00:00+00')
 select vacancy_id, title, first_seen_at from u qualify row_number() over (partition by vacancy_id order by first_seen_at desc, new desc) = 1""",

@@ -129,7 +129,7 @@ def release_all(spark: SparkSession) -> None:
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most limit rows; otherwise df, and Catalyst shuffles."""
-    return F.broadcast(df) if len(df.limit(limit + 1).select(F.lit(1)).collect()) <= limit else df
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def distinct_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:

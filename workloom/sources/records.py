@@ -61,6 +61,16 @@ def role_id(item: Column, depth: int = ROLE_DEPTH) -> Column:
     return first(F.array(*[_text(item, k) for k in ROLE_KEYS]), depth)
 
 
+def source_of(vacancy_id: Column) -> Column:
+    """The source that an id names by its prefix; null for another form."""
+    return F.when(vacancy_id.startswith("hh:"), "hh").when(vacancy_id.startswith("tg:"), "telegram")
+
+
+def bare_id(vacancy_id: Column) -> Column:
+    """The board's number of an id."""
+    return F.when(vacancy_id.startswith("hh:"), F.split_part(vacancy_id, F.lit(":"), F.lit(2)))
+
+
 def _present(c: Column) -> Column:
     return F.when(~c.isin("", "0", "false"), c)
 
