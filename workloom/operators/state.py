@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from workloom.operators.snapshots import latest_per_key, payload_pay
+from workloom.runtime import materialise, small
 
 EVENT_TYPES = ("appeared", "seen", "closed", "salary_changed", "desc_changed", "republished")
 
@@ -40,22 +41,36 @@ def pay_payload(old, new) -> F.Column:
     return F.to_json(F.struct(side(new).alias("new"), side(old).alias("old")), {"ignoreNullFields": "false"})
 
 
-def derive_events(prev: DataFrame, curr: DataFrame, ts: str, *, complete: bool = True) -> DataFrame:
+def derive_events(prev: DataFrame, curr: DataFrame, ts: str, *, complete: bool = True, payloads: DataFrame | None = None) -> DataFrame:
     """Events between two states (vacancy_id, employer_id, content_hash, raw_json): one full outer join.
 
     `closed` needs proof that the current state is complete; with complete=False none is derived, as for
     chats, whose sweeps are always partial: only current ids are looked at. Pay has changed if an amount,
-    the currency or its terms (mode, gross) did. The payload is parsed only for changed rows. Null ids
-    are left out.
+    the currency or its terms (mode, gross) did. Null ids are left out.
+
+    Ids and hashes are compared first; payloads are fetched and parsed for changed postings only. With
+    `payloads` (vacancy_id, ingest_seq, raw_json) the states hold ingest_seq instead of raw_json, so the
+    first pass reads no payload at all.
     """
-    p = prev.where("vacancy_id is not null").select("vacancy_id", F.struct("employer_id", "content_hash", "raw_json").alias("p"))
-    c = curr.where("vacancy_id is not null").select("vacancy_id", F.struct("employer_id", "content_hash", "raw_json").alias("c"))
+    has = ["employer_id", "content_hash", *(["ingest_seq"] if payloads is not None else [])]
+    p = prev.where("vacancy_id is not null").select("vacancy_id", F.struct(*has).alias("p"))
+    c = curr.where("vacancy_id is not null").select("vacancy_id", F.struct(*has).alias("c"))
     both = p.join(c, "vacancy_id", "full_outer" if complete else "right").where("p is null or c is null or not (p.content_hash <=> c.content_hash)")
-    both = both.withColumns({"a": payload_pay(F.col("p.raw_json")), "b": payload_pay(F.col("c.raw_json")), "ta": pay_terms(F.col("p.raw_json")), "tb": pay_terms(F.col("c.raw_json"))})
+    both = materialise(both, "changed")
     changed = F.col("p").isNotNull() & F.col("c").isNotNull()
-    pay = changed & ~F.col("ta").eqNullSafe(F.col("tb"))
+
+    def pay_of(side: str, state: DataFrame) -> DataFrame:
+        terms = [payload_pay(F.col("raw_json")).alias(f"{side}_pay"), pay_terms(F.col("raw_json")).alias(f"{side}_terms")]
+        if payloads is None:
+            wanted = small(both.where(changed).select("vacancy_id"))
+            return state.join(wanted, "vacancy_id", "left_semi").select("vacancy_id", *terms)
+        wanted = small(both.where(changed).select("vacancy_id", f"{side}.ingest_seq"))
+        return payloads.join(wanted, ["vacancy_id", "ingest_seq"], "left_semi").dropDuplicates(["vacancy_id", "ingest_seq"]).select("vacancy_id", *terms)
+
+    told = both.join(pay_of("p", prev), "vacancy_id", "left").join(pay_of("c", curr), "vacancy_id", "left")
+    pay = changed & ~F.col("p_terms").eqNullSafe(F.col("c_terms"))
     kind = F.when(F.col("p").isNull(), "appeared").when(F.col("c").isNull(), "closed").when(pay, "salary_changed").otherwise("desc_changed")
-    out = both.select("vacancy_id", F.coalesce("c.employer_id", "p.employer_id").alias("employer_id"), F.lit(ts).cast("timestamp").alias("ts"), kind.alias("type"), F.when(pay, pay_payload(F.col("a"), F.col("b"))).alias("payload"))
+    out = told.select("vacancy_id", F.coalesce("c.employer_id", "p.employer_id").alias("employer_id"), F.lit(ts).cast("timestamp").alias("ts"), kind.alias("type"), F.when(pay, pay_payload(F.col("p_pay"), F.col("c_pay"))).alias("payload"))
     return out.select(event_id("vacancy_id", F.lit(ts), "type").alias("event_id"), *out.columns)
 
 

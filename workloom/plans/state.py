@@ -25,8 +25,8 @@ def _at(s, d, cut, *more):
 def snapshot_diff(s, d):
     """Events between the board's states before and after one sweep, with payloads."""
     board = _lake(s, d).where("source = 'hh'")
-    day = lambda x: snapshots.latest_per_key(board.where(utc_date("fetched_at") == x).select(*_LATEST, "raw_json"), ["vacancy_id"], ["fetched_at", "ingest_seq"])
-    return state.derive_events(day("2026-05-11"), day("2026-05-18"), "2026-05-18 00:00:00").drop("ts")
+    day = lambda x: snapshots.latest_per_key(board.where(utc_date("fetched_at") == x).select(*_LATEST), ["vacancy_id"], ["fetched_at", "ingest_seq"])
+    return state.derive_events(day("2026-05-11"), day("2026-05-18"), "2026-05-18 00:00:00", payloads=board.select("vacancy_id", "ingest_seq", "raw_json")).drop("ts")
 
 
 def fx_asof(s, d):
